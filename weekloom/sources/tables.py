@@ -82,14 +82,24 @@ def shared_folder(spark: SparkSession) -> str:
     Only where the session names none, as in local tests, a new temporary folder is set.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        folder = tempfile.mkdtemp(prefix="weekloom-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        folder = context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder the whole cluster shares")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="weekloom-"))
+        folder = context.getCheckpointDir()
     return folder
 
 
 def fresh_folder(spark: SparkSession, label: str) -> str:
     """A name for a new folder under :func:`shared_folder`."""
     return f"{shared_folder(spark).rstrip('/')}/{label}-{os.urandom(6).hex()}"
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to a new shared folder and read it from there, so it is computed once."""
+    path = fresh_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -611,11 +611,12 @@ FROM bing_ads_stats""",
     "fb_joined": """SELECT date, campaign_id, adset_id, ad_id, campaign_name,
   CAST(spend AS DOUBLE) AS spend, impressions, clicks, action_type,
   CAST(value AS DOUBLE) AS value, "ROI" FROM ads_joined""",
-    "fb_joined_preagg": """SELECT date, campaign_id, adset_id, ad_id, campaign_name,
-  CAST(spend AS DOUBLE) AS spend, impressions, clicks, CAST(SUM(value) AS DOUBLE) AS value,
-  CASE WHEN spend <> 0 AND SUM(value) IS NOT NULL
-    THEN CAST(SUM(value) AS DOUBLE) / CAST(spend AS DOUBLE) ELSE 0 END AS "ROI"
-FROM ads_joined GROUP BY ALL""",
+    "fb_joined_preagg": """SELECT * EXCLUDE (value), CAST(value AS DOUBLE) AS value,
+  CASE WHEN spend <> 0 AND value IS NOT NULL
+    THEN CAST(value AS DOUBLE) / spend ELSE CAST(0 AS DOUBLE) END AS "ROI"
+FROM (SELECT date, campaign_id, adset_id, ad_id, campaign_name,
+    CAST(spend AS DOUBLE) AS spend, impressions, clicks, SUM(value) AS value
+  FROM ads_joined GROUP BY ALL)""",
     # week ranges
     "filter_week_range": """SELECT * FROM website_weekly_overall
 WHERE "Week" BETWEEN DATE '1996-01-01' AND DATE '1997-06-30'""",

@@ -16,7 +16,12 @@ US_DAY = "M/d/yyyy"
 def parse_day(col: Column | str, fmt: str = ISO_DAY, strict: bool = True) -> Column:
     """Text to DATE.  ``strict`` fails the job on a bad value, otherwise it becomes NULL."""
     col = _column(col)
-    return F.to_date(col, fmt) if strict else F.try_to_date(col, fmt)
+    parsed = F.to_date(col, fmt) if strict else F.try_to_date(col, fmt)
+    if fmt != ISO_DAY:
+        return parsed
+    # A cast reads a plain day several times faster than a format does.
+    quick = col.cast("date") if strict else col.try_cast("date")
+    return F.when(col.rlike(r"\A\d{4}-\d\d-\d\d\z"), quick).otherwise(parsed)
 
 
 def parse_moment(col: Column | str) -> Column:
@@ -32,11 +37,13 @@ def week_start(col: Column | str, anchor: str = "MON", keep_time: bool = False)
     """
     if anchor not in ANCHORS:
         raise ValueError(f"anchor must be one of {sorted(ANCHORS)}, got {anchor!r}")
-    col = _column(col)
-    days_in = F.pmod(F.weekday(col) - F.lit(ANCHORS[anchor]), F.lit(7))
+    col, shift = _column(col), ANCHORS[anchor]
     if keep_time:
+        days_in = F.pmod(F.weekday(col) - F.lit(shift), F.lit(7))
         return col.cast("timestamp_ntz") - F.make_dt_interval(days=days_in)
-    return F.date_sub(col.cast("date"), days_in)
+    if shift == 0:
+        return F.trunc(col, "week")
+    return F.date_add(F.trunc(F.date_sub(col, shift), "week"), shift)
 
 
 def week_label(week: Column | str) -> Column:

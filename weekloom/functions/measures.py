@@ -67,18 +67,18 @@ def aggregate(measure: Measure, dtype: T.DataType) -> Column:
     Sums run on the stored type, exactly and independent of order for decimals and integers,
     and come out as DOUBLE or BIGINT.  A sum over NULLs only is 0, a mean over them NULL.
     """
-    col = F.col(measure.column)
+    col = f"`{measure.column}`"
     if isinstance(dtype, T.BooleanType):
-        col, dtype = col.cast("int"), T.IntegerType()
+        col, dtype = f"CAST({col} AS INT)", T.IntegerType()
     if measure.how == "count":
-        return F.count(col)
+        return F.expr(f"count({col})")
     if measure.how == "distinct":
-        return F.count_distinct(col)
+        return F.expr(f"count(DISTINCT {col})")
     if measure.how == "mean":
-        return F.try_divide(F.sum(col).cast("double"), F.count(col).cast("double"))
+        return F.expr(f"try_divide(CAST(sum({col}) AS DOUBLE), CAST(count({col}) AS DOUBLE))")
     if measure.how == "sum":
-        whole = isinstance(dtype, T.IntegralType)
-        return F.coalesce(F.sum(col), F.lit(0)).cast("bigint" if whole else "double")
+        out = "BIGINT" if isinstance(dtype, T.IntegralType) else "DOUBLE"
+        return F.expr(f"CAST(coalesce(sum({col}), 0) AS {out})")
     raise ValueError(f"unknown measure {measure.how!r}")
 
 
@@ -94,12 +94,12 @@ def safe_div(
 
 
 def derived(item: Ratio | Difference) -> Column:
-    if isinstance(item, Ratio):
-        return safe_div(item.num, item.den, item.scale, item.default)
-    result = F.col(item.first)
-    for other in item.others:
-        result = result - F.col(other)
-    return result
+    if isinstance(item, Difference):
+        return F.expr(" - ".join(f"`{name}`" for name in (item.first, *item.others)))
+    num, den = f"CAST(`{item.num}` AS DOUBLE)", f"CAST(`{item.den}` AS DOUBLE)"
+    quotient = f"{num} / {den}" if item.scale == 1 else f"{num} / {den} * {item.scale}"
+    default = "NULL" if item.default is None else f"CAST({item.default} AS DOUBLE)"
+    return F.expr(f"CASE WHEN {den} > 0 THEN {quotient} ELSE {default} END")
 
 
 def with_derived(df, items: Mapping[str, Ratio | Difference]):

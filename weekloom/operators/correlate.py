@@ -61,8 +61,8 @@ def _clean(name: str) -> Column:
     return F.when(~F.isnan(name), value)
 
 
-def _points(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
-    """Distinct points of each pair of columns with the number of rows on them.
+def _points(df: DataFrame, pairs: list[tuple[str, str]]) -> tuple[DataFrame, int]:
+    """Distinct points of each pair of columns with the number of rows on them, and how many.
 
     They are read several times, so they are written once.
     """
@@ -80,22 +80,24 @@ def _points(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
         .groupBy(*_PAIR, "x", "y")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    return staged(points, "points")
+    points = staged(points, "points")
+    return points, points.count()
 
 
-def _average_ranks(points: DataFrame, axis: str) -> DataFrame:
+def _average_ranks(points: DataFrame, axis: str, at_most: int) -> DataFrame:
     """Rank of each value of an axis, ties sharing the average of their places."""
     values = points.groupBy(*_PAIR, axis).agg(F.sum("n").alias("_t"))
-    placed = running_total(with_ranges(values, _PAIR, axis), _PAIR, axis, "_t", "_before")
+    ranged = with_ranges(values, _PAIR, axis, at_most)
+    placed = running_total(ranged, _PAIR, axis, "_t", "_before")
     rank = F.col("_before") + (F.col("_t") + 1) / F.lit(2.0)
     return placed.select(*_PAIR, axis, rank.alias(f"r{axis}"))
 
 
 def _spearman(df: DataFrame, columns: list[str]) -> DataFrame:
     """Correlation of average ranks, computed on distinct points with their row counts."""
-    points = _points(df, list(combinations_with_replacement(columns, 2)))
-    ranked = points.join(_average_ranks(points, "x"), [*_PAIR, "x"]).join(
-        _average_ranks(points, "y"), [*_PAIR, "y"]
+    points, size = _points(df, list(combinations_with_replacement(columns, 2)))
+    ranked = points.join(_average_ranks(points, "x", size), [*_PAIR, "x"]).join(
+        _average_ranks(points, "y", size), [*_PAIR, "y"]
     )
     weight = F.col("n").cast("double")
     sums = ranked.groupBy(*_PAIR).agg(
@@ -113,7 +115,7 @@ def _spearman(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def _kendall(df: DataFrame, columns: list[str]) -> DataFrame:
     """Tau-b.  Pairs of rows are counted, never formed; see :func:`_discordant`."""
-    points = _points(df, list(combinations(columns, 2)))
+    points, size = _points(df, list(combinations(columns, 2)))
     ties_x = _tied(points.groupBy(*_PAIR, "x").agg(F.sum("n").alias("n")), "tx")
     ties_y = _tied(points.groupBy(*_PAIR, "y").agg(F.sum("n").alias("n")), "ty")
     both = points.groupBy(*_PAIR).agg(
@@ -122,7 +124,7 @@ def _kendall(df: DataFrame, columns: list[str]) -> DataFrame:
     parts = (
         both.join(F.broadcast(ties_x), _PAIR)
         .join(F.broadcast(ties_y), _PAIR)
-        .join(F.broadcast(_discordant(points)), _PAIR, "left")
+        .join(F.broadcast(_discordant(points, size)), _PAIR, "left")
         .fillna(0, ["dis"])
     )
     num = F.col("all") - F.col("tx") - F.col("ty") + F.col("txy") - F.col("dis") * 2
@@ -156,7 +158,7 @@ def _tied(values: DataFrame, out: str) -> DataFrame:
     return values.groupBy(*_PAIR).agg(F.sum(_couples("n")).alias(out))
 
 
-def _discordant(points: DataFrame) -> DataFrame:
+def _discordant(points: DataFrame, size: int) -> DataFrame:
     """Number of pairs of rows that x and y put in opposite order.
 
     Numbering the y values, two of them first differ at one binary digit.  So for each digit
@@ -165,11 +167,11 @@ def _discordant(points: DataFrame) -> DataFrame:
     the points, n log n rows in place of n squared, and totals run inside ranges of x.
     """
     values = points.select(*_PAIR, "y").distinct().withColumn("_one", F.lit(1))
-    numbered = running_total(with_ranges(values, _PAIR, "y"), _PAIR, "y", "_one", "_y")
+    numbered = running_total(with_ranges(values, _PAIR, "y", size), _PAIR, "y", "_one", "_y")
     digits = points.groupBy(*_PAIR).agg(
         F.length(F.bin(F.count_distinct("y"))).alias("_digits")
     )
-    ranged = with_ranges(points, _PAIR, "x")
+    ranged = with_ranges(points, _PAIR, "x", size)
     spread = (
         ranged.join(numbered.select(*_PAIR, "y", "_y"), [*_PAIR, "y"])
         .join(F.broadcast(digits), _PAIR)

@@ -67,7 +67,8 @@ def _describe(df: DataFrame, names: Sequence[str]) -> DataFrame:
     counted = long.where(F.col("_x").isNotNull() & ~F.isnan("_x")).groupBy("variable", "_x").agg(
         F.count(F.lit(1)).alias("_n")
     )
-    ranged = with_ranges(staged(counted, "values"), ["variable"], "_x")
+    counted = staged(counted, "values")
+    ranged = with_ranges(counted, ["variable"], "_x", counted.count())
     places = running_total(ranged, ["variable"], "_x", "_n", "_before")
     basics = _basics(df, names)
     joined = places.join(F.broadcast(basics.select("variable", "count")), "variable")

@@ -22,22 +22,24 @@ def with_ranges(
     df: DataFrame,
     groups: Sequence[str],
     value: str,
-    rows_per_range: int | None = None,
+    at_most: int | None = None,
 ) -> DataFrame:
     """Add the number of the value range of each row; equal values share a range.
 
-    A group with more than ``rows_per_range`` rows is cut.  Counts and quantiles of each group
+    A group with more than ``ROWS_PER_RANGE`` rows is cut.  Counts and quantiles of each group
     come to the driver, at most ``MAX_RANGES`` numbers per group, so ``groups`` has to name
-    few groups, such as pairs of columns.  Without large groups nothing is cut or added.
+    few groups, such as pairs of columns.  Without large groups nothing is cut or added, and
+    nothing is counted where ``at_most``, the caller's bound on all rows, is small.
     """
-    rows_per_range = rows_per_range or ROWS_PER_RANGE
-    probabilities = [i / MAX_RANGES for i in range(1, MAX_RANGES)]
-    quantiles = F.percentile_approx(F.col(value).cast("double"), probabilities, 20_000)
+    if at_most is not None and at_most <= ROWS_PER_RANGE:
+        return df
     sizes = df.groupBy(*groups).agg(F.count(value).alias("n")).collect()
-    if all(row["n"] <= rows_per_range for row in sizes):
+    if all(row["n"] <= ROWS_PER_RANGE for row in sizes):
         return df
+    shares = ", ".join(f"{i / MAX_RANGES}D" for i in range(1, MAX_RANGES))
+    quantiles = F.expr(f"percentile_approx(CAST(`{value}` AS DOUBLE), array({shares}), 20000)")
     found = df.groupBy(*groups).agg(F.count(value).alias("n"), quantiles.alias("cuts")).collect()
-    cuts = {row[:-2]: _thin(row["cuts"] or [], row["n"], rows_per_range) for row in found}
+    cuts = {row[:-2]: _thin(row["cuts"] or [], row["n"]) for row in found}
     bits = max(len(c) for c in cuts.values()).bit_length()
     rows = [(*key, c + [float("inf")] * (2**bits - 1 - len(c))) for key, c in cuts.items()]
     fields = [f"`{g}` {df.schema[g].dataType.simpleString()}" for g in groups]
@@ -72,9 +74,9 @@ def running_total(
     )
 
 
-def _thin(cuts: list[float], rows: int, rows_per_range: int) -> list[float]:
+def _thin(cuts: list[float], rows: int) -> list[float]:
     """Distinct cuts, no more than the group's size calls for."""
-    wanted = min(MAX_RANGES, -(-rows // rows_per_range))
+    wanted = min(MAX_RANGES, -(-rows // ROWS_PER_RANGE))
     step = max(1, MAX_RANGES // wanted)
     return sorted(set(cuts[step - 1 :: step]))
 

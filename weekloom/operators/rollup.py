@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from weekloom.functions.measures import Difference, Measure, Ratio, aggregate, with_derived
 
@@ -15,7 +13,7 @@ def require(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows in which none of ``columns`` is NULL."""
     if not columns:
         return df
-    return df.where(reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in columns)))
+    return df.where(" AND ".join(f"`{column}` IS NOT NULL" for column in columns))
 
 
 def rollup(

@@ -9,32 +9,25 @@ nor drops rows, and leaving it out spares a shuffle of the largest table.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from weekloom.sources.tables import Source
+from weekloom.sources.tables import Source, spread
 
-CENTS = "decimal(18,4)"
-FINE = "decimal(18,6)"
-
-# Raw sources by supplier, remainder 0 (none) to 18; the rest is the last one.
-RAW_SOURCES = (
-    None, "  ", "(direct)", "https://m.facebook.com/ads?id=1", "https://www.Google.com/",
-    "bing", "search.yahoo.com", "duckduckgo.com/", "my-affiliate-site", "Klaviyo", "attentive",
-    "sendinblue", "convertkit", "cj_feed", "x.substack.com", "chatgpt.com", "trustpilot",
-    "linkin.bio/a", "nps-mail", "Blog.Example.org/?page=2",
-)
-# Raw campaigns by part, remainder 0 to 5; the rest is numbered.
-RAW_CAMPAIGNS = (None, "!!!", "GCLID", "www.google.com", " Spring  Sale! ", "spring_sale")
+# Schemas of files already seen, as finding one takes a job.
+_SCHEMAS: dict[str, T.StructType] = {}
 
 
 def retail_source(spark: SparkSession, sf_dir: str) -> Source:
     """Source tables computed from the parquet files in ``sf_dir``."""
 
     def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        path = f"{sf_dir}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = spark.read.parquet(path).schema
+        return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     def read(name: str, columns: Sequence[str] | None = None) -> DataFrame:
         if name == "website_sales":
@@ -45,205 +38,177 @@ def retail_source(spark: SparkSession, sf_dir: str) -> Source:
     return read
 
 
-def _pick_by(remainder: Column, values: Sequence[str | None], otherwise: Column) -> Column:
-    chain = F.when(remainder == 0, F.lit(values[0]))
-    for i, value in enumerate(values[1:], 1):
-        chain = chain.when(remainder == i, F.lit(value))
-    return chain.otherwise(otherwise)
-
-
-def _day_text(col: str) -> Column:
-    return F.col(col).cast("date").cast("string")
-
-
-def _website_columns() -> dict[str, tuple[Column, set[str]]]:
-    """Each column with the dimension tables it needs besides ``lineitem``."""
-    price, off = F.col("l_extendedprice"), F.col("l_discount")
-    part16 = F.col("l_partkey") % 16
-    supplier20 = F.col("l_suppkey") % 20
-    flag = F.col("l_returnflag")
-    return {
-        "orderdate": (_day_text("o_orderdate"), {"orders"}),
-        "websource": (_pick_by(supplier20, RAW_SOURCES[:-1], F.lit(RAW_SOURCES[-1])), set()),
-        "campaign": (
-            _pick_by(
-                part16, RAW_CAMPAIGNS, F.concat(F.lit("Camp #"), part16.cast("string"))
-            ),
-            set(),
-        ),
-        "promotion": (
-            F.when(off < 0.005, F.lit(None))
-            .when(off < 0.035, F.lit(" NoPromotionApplied "))
-            .otherwise(F.lit("PromotionApplied")),
-            set(),
-        ),
-        "promotionid": (
-            F.when(
-                F.col("l_linenumber") != 7, F.concat(F.lit(" "), F.col("p_brand"), F.lit(" "))
-            ),
-            {"part"},
-        ),
-        "novusd": ((price * (1 - off)).cast(CENTS), set()),
-        "contributionmargin": (
-            (price * (1 - off) - F.col("l_quantity") * F.col("p_retailprice")).cast(CENTS),
-            {"part"},
-        ),
-        "marketordernumber": (F.col("l_orderkey"), set()),
-        "shippingchargesusd": ((price * F.col("l_tax")).cast(CENTS), set()),
-        "promodiscountsusd": ((price * off).cast(CENTS), set()),
-        "grossprodpaymentorder": (price.cast(CENTS), set()),
-        "booksinorder": (F.col("l_quantity").cast("int"), set()),
-        "isreturningcustomer": (
-            F.when(F.col("o_custkey") % 3 == 0, 1).otherwise(0), {"orders"}
-        ),
-        "category": (F.col("p_type"), {"part"}),
-        "majorcategory": (F.col("p_brand"), {"part"}),
-        "country": (F.col("n_name"), {"orders", "customer"}),
-        "orderdestinationtype": (
-            F.when(F.col("n_regionkey") == 0, "Domestic").otherwise("International"),
-            {"orders", "customer"},
-        ),
-        "medium": (F.col("o_orderpriority"), {"orders"}),
-        "pricingstrategy": (
-            F.when(
-                F.col("l_linenumber") != 5,
-                F.concat(
-                    F.when(flag == "A", "Dynamic").when(flag == "N", "Static")
-                    .otherwise("Clearance"),
-                    F.when(F.col("l_linestatus") == "F", "Test").otherwise(""),
-                ),
-            ),
-            set(),
-        ),
-        "author": (F.col("p_name"), {"part"}),
-    }
+# Each column of website_sales with the tables it needs besides lineitem.
+WEBSITE_SALES: dict[str, tuple[str, tuple[str, ...]]] = {
+    "orderdate": ("CAST(CAST(o_orderdate AS DATE) AS STRING)", ("orders",)),
+    "websource": (
+        """CASE l_suppkey % 20 WHEN 0 THEN NULL WHEN 1 THEN '  ' WHEN 2 THEN '(direct)'
+        WHEN 3 THEN 'https://m.facebook.com/ads?id=1' WHEN 4 THEN 'https://www.Google.com/'
+        WHEN 5 THEN 'bing' WHEN 6 THEN 'search.yahoo.com' WHEN 7 THEN 'duckduckgo.com/'
+        WHEN 8 THEN 'my-affiliate-site' WHEN 9 THEN 'Klaviyo' WHEN 10 THEN 'attentive'
+        WHEN 11 THEN 'sendinblue' WHEN 12 THEN 'convertkit' WHEN 13 THEN 'cj_feed'
+        WHEN 14 THEN 'x.substack.com' WHEN 15 THEN 'chatgpt.com' WHEN 16 THEN 'trustpilot'
+        WHEN 17 THEN 'linkin.bio/a' WHEN 18 THEN 'nps-mail'
+        ELSE 'Blog.Example.org/?page=2' END""",
+        (),
+    ),
+    "campaign": (
+        """CASE l_partkey % 16 WHEN 0 THEN NULL WHEN 1 THEN '!!!' WHEN 2 THEN 'GCLID'
+        WHEN 3 THEN 'www.google.com' WHEN 4 THEN ' Spring  Sale! ' WHEN 5 THEN 'spring_sale'
+        ELSE concat('Camp #', CAST(l_partkey % 16 AS STRING)) END""",
+        (),
+    ),
+    "promotion": (
+        """CASE WHEN l_discount < 0.005D THEN NULL
+        WHEN l_discount < 0.035D THEN ' NoPromotionApplied ' ELSE 'PromotionApplied' END""",
+        (),
+    ),
+    "promotionid": (
+        "CASE WHEN l_linenumber <> 7 THEN concat(' ', p_brand, ' ') END", ("part",)
+    ),
+    "novusd": ("CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18,4))", ()),
+    "contributionmargin": (
+        """CAST(l_extendedprice * (1 - l_discount) - l_quantity * p_retailprice
+        AS DECIMAL(18,4))""",
+        ("part",),
+    ),
+    "marketordernumber": ("l_orderkey", ()),
+    "shippingchargesusd": ("CAST(l_extendedprice * l_tax AS DECIMAL(18,4))", ()),
+    "promodiscountsusd": ("CAST(l_extendedprice * l_discount AS DECIMAL(18,4))", ()),
+    "grossprodpaymentorder": ("CAST(l_extendedprice AS DECIMAL(18,4))", ()),
+    "booksinorder": ("CAST(l_quantity AS INT)", ()),
+    "isreturningcustomer": ("CASE WHEN o_custkey % 3 = 0 THEN 1 ELSE 0 END", ("orders",)),
+    "category": ("p_type", ("part",)),
+    "majorcategory": ("p_brand", ("part",)),
+    "country": ("n_name", ("orders", "customer")),
+    "orderdestinationtype": (
+        "CASE WHEN n_regionkey = 0 THEN 'Domestic' ELSE 'International' END",
+        ("orders", "customer"),
+    ),
+    "medium": ("o_orderpriority", ("orders",)),
+    "pricingstrategy": (
+        """CASE WHEN l_linenumber <> 5 THEN concat(
+        CASE l_returnflag WHEN 'A' THEN 'Dynamic' WHEN 'N' THEN 'Static' ELSE 'Clearance' END,
+        CASE WHEN l_linestatus = 'F' THEN 'Test' ELSE '' END) END""",
+        (),
+    ),
+    "author": ("p_name", ("part",)),
+}
 
 
 def _website_sales(
     table: Callable[[str], DataFrame], columns: Sequence[str] | None
 ) -> DataFrame:
-    known = _website_columns()
-    names = list(known) if columns is None else list(columns)
-    tables = set().union(*(known[name][1] for name in names))
-    rows = table("lineitem")
+    names = list(WEBSITE_SALES if columns is None else columns)
+    tables = {t for name in names for t in WEBSITE_SALES[name][1]}
+    rows = spread(table("lineitem"))
     if "part" in tables:
-        rows = rows.join(table("part"), F.col("l_partkey") == F.col("p_partkey"))
+        rows = rows.join(table("part"), F.expr("l_partkey = p_partkey"))
     if "orders" in tables:
         orders = table("orders")
         if "customer" in tables:
-            nation = table("nation")
-            homes = table("customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-            orders = orders.join(homes, F.col("o_custkey") == F.col("c_custkey"))
-        rows = rows.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    return rows.select(*(known[name][0].alias(name) for name in names))
+            homes = table("customer").join(table("nation"), F.expr("c_nationkey = n_nationkey"))
+            orders = orders.join(homes, F.expr("o_custkey = c_custkey"))
+        rows = rows.join(orders, F.expr("l_orderkey = o_orderkey"))
+    return rows.selectExpr(*(f"{WEBSITE_SALES[name][0]} AS {name}" for name in names))
 
 
 def _ga_sessions(table: Callable[[str], DataFrame]) -> DataFrame:
-    event, kind = F.col("event_id"), F.col("event_type")
-    devices = F.when(event % 3 == 0, "mobile").when(event % 3 == 1, "desktop")
-    return table("events").select(
-        F.date_format("ts", "MM/dd/yyyy").alias("date"),
-        F.when(event % 9 != 0, F.concat(F.lit("/p"), (event % 5).cast("string")))
-        .alias("landing_page"),
-        F.concat(F.lit("ga-"), (event % 8).cast("string")).alias("campaign_name"),
-        F.concat(F.lit("src"), (F.col("user_id") % 12).cast("string")).alias("source"),
-        devices.otherwise("tablet").alias("device_category"),
-        kind.alias("medium"),
-        (event % 3 + 1).alias("sessions"),
-        (F.col("value") / 1000).cast(FINE).alias("bounce_rate"),
-        F.lit(1).cast("bigint").alias("active_users"),
-        F.when(kind == "purchase", F.col("value").cast(CENTS))
-        .otherwise(F.lit(Decimal(0)).cast(CENTS)).alias("purchase_revenue"),
+    return spread(table("events")).selectExpr(
+        "date_format(ts, 'MM/dd/yyyy') AS date",
+        """CASE WHEN event_id % 9 <> 0 THEN concat('/p', CAST(event_id % 5 AS STRING)) END
+        AS landing_page""",
+        "concat('ga-', CAST(event_id % 8 AS STRING)) AS campaign_name",
+        "concat('src', CAST(user_id % 12 AS STRING)) AS source",
+        """CASE event_id % 3 WHEN 0 THEN 'mobile' WHEN 1 THEN 'desktop' ELSE 'tablet' END
+        AS device_category""",
+        "event_type AS medium",
+        "1 + event_id % 3 AS sessions",
+        "CAST(value / 1000 AS DECIMAL(18,6)) AS bounce_rate",
+        "CAST(1 AS BIGINT) AS active_users",
+        """CAST(CASE WHEN event_type = 'purchase' THEN value ELSE 0 END AS DECIMAL(18,4))
+        AS purchase_revenue""",
     )
 
 
-def _conversions() -> list[Column]:
-    line = F.col("l_linenumber") % 3
-    return [
-        F.when(line == 0, F.lit(0.0)).otherwise(F.col("l_extendedprice") / 1000).cast(FINE)
-        .alias("conversions_value"),
-        line.alias("conversions"),
-    ]
+_CONVERSIONS = (
+    """CAST(CASE WHEN l_linenumber % 3 = 0 THEN 0 ELSE l_extendedprice / 1000 END
+    AS DECIMAL(18,6)) AS conversions_value""",
+    "l_linenumber % 3 AS conversions",
+)
 
 
 def _google_ads(table: Callable[[str], DataFrame]) -> DataFrame:
-    return table("lineitem").select(
-        _day_text("l_shipdate").alias("date"),
-        F.concat(F.lit("gads-"), (F.col("l_suppkey") % 40).cast("string"))
-        .alias("campaign_name"),
-        (F.col("l_quantity") * 1000000).cast("bigint").alias("cost_micros"),
-        (F.col("l_partkey") % 500).alias("impressions"),
-        (F.col("l_partkey") % 20).alias("clicks"),
-        *_conversions(),
+    return spread(table("lineitem")).selectExpr(
+        "CAST(CAST(l_shipdate AS DATE) AS STRING) AS date",
+        "concat('gads-', CAST(l_suppkey % 40 AS STRING)) AS campaign_name",
+        "CAST(l_quantity * 1000000 AS BIGINT) AS cost_micros",
+        "l_partkey % 500 AS impressions",
+        "l_partkey % 20 AS clicks",
+        *_CONVERSIONS,
     )
 
 
 def _bing_ads(table: Callable[[str], DataFrame]) -> DataFrame:
-    return table("lineitem").where(F.col("l_returnflag") == "R").select(
-        F.when(F.col("l_linenumber") == 7, "n/a").otherwise(_day_text("l_shipdate"))
-        .alias("date"),
-        F.concat(F.lit("bing-"), (F.col("l_suppkey") % 30).cast("string"))
-        .alias("campaign_name"),
-        F.col("l_quantity").cast(CENTS).alias("spend"),
-        (F.col("l_partkey") % 400).alias("impressions"),
-        (F.col("l_partkey") % 15).alias("clicks"),
-        *_conversions(),
+    return spread(table("lineitem")).where("l_returnflag = 'R'").selectExpr(
+        """CASE WHEN l_linenumber = 7 THEN 'n/a' ELSE CAST(CAST(l_shipdate AS DATE) AS STRING)
+        END AS date""",
+        "concat('bing-', CAST(l_suppkey % 30 AS STRING)) AS campaign_name",
+        "CAST(l_quantity AS DECIMAL(18,4)) AS spend",
+        "l_partkey % 400 AS impressions",
+        "l_partkey % 15 AS clicks",
+        *_CONVERSIONS,
     )
 
 
-def _ad_ids() -> dict[str, Column]:
-    user = F.col("user_id")
-    return {
-        "campaign_id": (user % 30).cast("string"),
-        "adset_id": F.when(user % 11 != 0, (user % 7).cast("string")),
-        "ad_id": user.cast("string"),
-    }
+_AD_IDS = (
+    "CAST(user_id % 30 AS STRING) AS campaign_id",
+    "CASE WHEN user_id % 11 <> 0 THEN CAST(user_id % 7 AS STRING) END AS adset_id",
+    "CAST(user_id AS STRING) AS ad_id",
+)
 
 
 def _ad_insights(table: Callable[[str], DataFrame]) -> DataFrame:
-    kind, user = F.col("event_type"), F.col("user_id")
-    spend = F.when(kind == "click", F.col("value").cast(CENTS)).otherwise(F.lit(Decimal(0)))
-    daily = table("events").where(kind.isin("view", "click")).groupBy(
-        F.col("ts").cast("date").alias("day"), "user_id"
-    ).agg(
-        F.sum(spend.cast(CENTS)).alias("spend"),
-        F.sum(F.when(kind == "view", 100).otherwise(0)).alias("impressions"),
-        F.sum(F.when(kind == "click", 1).otherwise(0)).alias("clicks"),
-    )
-    name = F.when(
-        user % 30 != 29, F.concat(F.lit("fb-"), (user % 30).cast("string"))
+    seen = spread(table("events")).where("event_type IN ('view', 'click')")
+    daily = seen.groupBy(F.expr("CAST(ts AS DATE) AS day"), "user_id").agg(
+        F.expr("""sum(CAST(CASE WHEN event_type = 'click' THEN value ELSE 0 END
+        AS DECIMAL(18,4))) AS spend"""),
+        F.expr("sum(CASE WHEN event_type = 'view' THEN 100 ELSE 0 END) AS impressions"),
+        F.expr("sum(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) AS clicks"),
     )
-    return daily.select(
-        F.col("day").cast("string").alias("date"),
-        *(column.alias(n) for n, column in _ad_ids().items()),
-        name.alias("campaign_name"), "spend", "impressions", "clicks",
+    return daily.selectExpr(
+        "CAST(day AS STRING) AS date",
+        *_AD_IDS,
+        """CASE WHEN user_id % 30 <> 29 THEN concat('fb-', CAST(user_id % 30 AS STRING)) END
+        AS campaign_name""",
+        "spend",
+        "impressions",
+        "clicks",
     )
 
 
 def _ad_actions(table: Callable[[str], DataFrame]) -> DataFrame:
-    kind = F.col("event_type")
-    action = F.when(kind == "purchase", "purchase").when(kind == "signup", "omni_purchase")
-    return table("events").where(kind.isin("purchase", "signup", "error")).select(
-        _day_text("ts").alias("date"),
-        *(column.alias(n) for n, column in _ad_ids().items()),
-        action.otherwise("link_click").alias("action_type"),
-        F.col("value").cast(CENTS).alias("value"),
+    acts = spread(table("events")).where("event_type IN ('purchase', 'signup', 'error')")
+    return acts.selectExpr(
+        "CAST(CAST(ts AS DATE) AS STRING) AS date",
+        *_AD_IDS,
+        """CASE event_type WHEN 'purchase' THEN 'purchase' WHEN 'signup' THEN 'omni_purchase'
+        ELSE 'link_click' END AS action_type""",
+        "CAST(value AS DECIMAL(18,4)) AS value",
     )
 
 
 def _affiliate_sales(table: Callable[[str], DataFrame]) -> DataFrame:
-    key, price = F.col("o_orderkey"), F.col("o_totalprice")
-    return table("orders").select(
-        _day_text("o_orderdate").alias("eventdate"),
-        (key - key % 2).alias("marketordernumber"),
-        F.concat(F.lit("pub-"), (F.col("o_custkey") % 60).cast("string"))
-        .alias("publishername"),
-        price.cast(CENTS).alias("saleamountusd"),
-        (price * 0.07).cast(CENTS).alias("publishercommissionusd"),
-        (price * 0.02).cast(CENTS).alias("cjfeeusd"),
-        (price * 0.01).cast(CENTS).alias("orderdiscountusd"),
-        F.when(F.col("o_orderstatus") == "F", price.cast(CENTS))
-        .otherwise(F.lit(Decimal(0)).cast(CENTS)).alias("correctedamountusd"),
+    return spread(table("orders")).selectExpr(
+        "CAST(CAST(o_orderdate AS DATE) AS STRING) AS eventdate",
+        "o_orderkey - o_orderkey % 2 AS marketordernumber",
+        "concat('pub-', CAST(o_custkey % 60 AS STRING)) AS publishername",
+        "CAST(o_totalprice AS DECIMAL(18,4)) AS saleamountusd",
+        "CAST(o_totalprice * 0.07D AS DECIMAL(18,4)) AS publishercommissionusd",
+        "CAST(o_totalprice * 0.02D AS DECIMAL(18,4)) AS cjfeeusd",
+        "CAST(o_totalprice * 0.01D AS DECIMAL(18,4)) AS orderdiscountusd",
+        """CAST(CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE 0 END AS DECIMAL(18,4))
+        AS correctedamountusd""",
     )
 
 

@@ -58,6 +58,12 @@ def jdbc_source(
     return read
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Share an input of fewer splits than cores among all cores; leave any larger one alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def write_table(df: DataFrame, base: str, name: str) -> str:
     """Replace the parquet table ``<base>/<name>`` and return its path."""
     path = f"{base.rstrip('/')}/{name}"

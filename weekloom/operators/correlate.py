@@ -46,19 +46,28 @@ def corr_pairs(df: DataFrame, columns: Sequence[str], method: str = "pearson") -
 def _pearson(df: DataFrame, columns: list[str]) -> DataFrame:
     """All pairs in one pass."""
     pairs = list(combinations_with_replacement(columns, 2))
-    wide = df.agg(*(F.corr(a, b).alias(f"_{i}") for i, (a, b) in enumerate(pairs)))
+    sums = ("regr_sxy", "regr_sxx", "regr_syy")
+    wide = df.agg(
+        *(getattr(F, f)(b, a).alias(f"{f}_{i}") for i, (a, b) in enumerate(pairs) for f in sums)
+    )
     rows = F.array(
         *(
-            F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), _clean(f"_{i}").alias("value"))
+            F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), _coefficient(i).alias("value"))
             for i, (a, b) in enumerate(pairs)
         )
     )
     return wide.select(F.inline(rows))
 
 
-def _clean(name: str) -> Column:
-    value = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col(name)))
-    return F.when(~F.isnan(name), value)
+def _coefficient(i: int) -> Column:
+    """Covariance over both deviations; NULL for a constant column."""
+    spread = F.sqrt(F.col(f"regr_sxx_{i}")) * F.sqrt(F.col(f"regr_syy_{i}"))
+    return _clip(F.try_divide(F.col(f"regr_sxy_{i}"), spread))
+
+
+def _clip(value: Column) -> Column:
+    """Rounding aside, a coefficient lies between -1 and 1; NULL stays NULL."""
+    return F.when(value.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), value)))
 
 
 def _points(df: DataFrame, pairs: list[tuple[str, str]]) -> tuple[DataFrame, int]:
@@ -110,7 +119,7 @@ def _spearman(df: DataFrame, columns: list[str]) -> DataFrame:
     middle = F.col("w") * (F.col("w") + 1) * (F.col("w") + 1) / 4
     spread = (F.col("xx") - middle) * (F.col("yy") - middle)
     value = F.when(spread > 0, (F.col("xy") - middle) / F.sqrt(spread))
-    return sums.select(*_PAIR, F.least(F.lit(1.0), F.greatest(F.lit(-1.0), value)).alias("value"))
+    return sums.select(*_PAIR, _clip(value).alias("value"))
 
 
 def _kendall(df: DataFrame, columns: list[str]) -> DataFrame:

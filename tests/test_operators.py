@@ -80,7 +80,8 @@ def test_top_n_puts_nulls_last_or_drops_them(spark):
 
 
 def test_keep_top_k_keeps_all_rows_of_the_best(spark):
-    df = spark.createDataFrame([("a", 1.0), ("a", 1.0), ("b", 5.0), ("c", 0.5)], "k string, v double")
+    data = [("a", 1.0), ("a", 1.0), ("b", 5.0), ("c", 0.5)]
+    df = spark.createDataFrame(data, "k string, v double")
     assert rows(keep_top_k(df, "k", m.total("v"), 2)) == [("a", 1.0), ("a", 1.0), ("b", 5.0)]
 
 
@@ -135,7 +136,8 @@ def test_uplift_per_active_day(spark):
 
 def test_pivot_uplift(spark):
     df = spark.createDataFrame(
-        [(W1, 2.0, 3.0, None), (W2, 0.0, 3.0, 1.0)], "Week date, NoPromotion double, a double, b double")
+        [(W1, 2.0, 3.0, None), (W2, 0.0, 3.0, 1.0)],
+        "Week date, NoPromotion double, a double, b double")
     out = uplift.pivot_uplift(df)
     assert out.columns[-2:] == ["a_uplift", "b_uplift"]
     assert [r[-2:] for r in rows(out, "Week")] == [(0.5, None), (None, None)]

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
+from weekloom.operators import ads
 from weekloom.plans.batch import run_batch
 from weekloom.plans.tables import OUTPUTS, TABLES, Tables, Top
 from weekloom.sources.retail import WEBSITE_SALES, retail_source
@@ -58,6 +59,15 @@ def test_scans_read_only_what_a_table_needs(tables):
     assert "customer.parquet" in plan(tables["website_geo_source_analysis"])
 
 
+def test_sums_of_purchases_are_shuffled_for_the_join(spark):
+    """Both sides of a join have to come from a shuffle for a busy key to be split."""
+    insights = spark.createDataFrame([], schema_of("facebook_ads_insights"))
+    actions = spark.createDataFrame([], schema_of("facebook_ads_actions"))
+    with_hints = (insights.hint("merge"), actions)
+    text = plan(ads.join_ad_actions(*with_hints, fanout=False))
+    assert len(re.findall(r"^\(\d+\) Exchange", text, re.M)) == 3
+
+
 def test_website_columns_match_the_schema():
     assert list(WEBSITE_SALES) == schema_of("website_sales").names
 
@@ -65,8 +75,8 @@ def test_website_columns_match_the_schema():
 def test_spread_leaves_many_splits_alone(spark):
     cores = spark.sparkContext.defaultParallelism
     many = spark.range(0, 1000, 1, cores + 1)
-    assert spread(many) is many
-    assert spread(spark.range(0, 10, 1, 1)).rdd.getNumPartitions() == cores
+    assert spread(many, "id") is many
+    assert spread(spark.range(0, 10, 1, 1), "id").rdd.getNumPartitions() == cores
 
 
 def test_thirty_outputs():

@@ -56,6 +56,9 @@ def join_ad_actions(
         right = right.select(*AD_DAY, "action_type", "value")
     else:
         right = right.groupBy(*AD_DAY).agg(F.sum("value").alias("value"))
+        # Joined as they lie, the sums would pin each ad-day to one task.  A key computed anew
+        # makes Spark shuffle them, and adaptive execution may then split a busy ad-day.
+        right = right.withColumn("date", F.concat("date", F.lit("")))
     joined = _keyed(insights).join(right, list(AD_DAY), "left")
     return joined.withColumn("ROI", row_roi("value", "spend"))
 

@@ -21,7 +21,11 @@ def corr(df: DataFrame, columns: Sequence[str], method: str = "pearson") -> Data
     both = values.select(F.col("a").alias("index"), F.col("b").alias("_v"), "value").unionByName(
         values.where("a <> b").select(F.col("b").alias("index"), F.col("a").alias("_v"), "value")
     )
-    return both.groupBy("index").agg(
+    # A column without values has no pairs but keeps its place.
+    places = df.sparkSession.createDataFrame(
+        [(c, None, None) for c in columns], "index string, _v string, value double"
+    )
+    return both.unionByName(places).groupBy("index").agg(
         *(F.max(F.when(F.col("_v") == c, F.col("value"))).alias(c) for c in columns)
     )
 

@@ -101,7 +101,7 @@ def _website_sales(
 ) -> DataFrame:
     names = list(WEBSITE_SALES if columns is None else columns)
     tables = {t for name in names for t in WEBSITE_SALES[name][1]}
-    rows = spread(table("lineitem"))
+    rows = spread(table("lineitem"), "l_orderkey", "l_linenumber")
     if "part" in tables:
         rows = rows.join(table("part"), F.expr("l_partkey = p_partkey"))
     if "orders" in tables:
@@ -114,7 +114,7 @@ def _website_sales(
 
 
 def _ga_sessions(table: Callable[[str], DataFrame]) -> DataFrame:
-    return spread(table("events")).selectExpr(
+    return spread(table("events"), "event_id").selectExpr(
         "date_format(ts, 'MM/dd/yyyy') AS date",
         """CASE WHEN event_id % 9 <> 0 THEN concat('/p', CAST(event_id % 5 AS STRING)) END
         AS landing_page""",
@@ -139,7 +139,7 @@ _CONVERSIONS = (
 
 
 def _google_ads(table: Callable[[str], DataFrame]) -> DataFrame:
-    return spread(table("lineitem")).selectExpr(
+    return spread(table("lineitem"), "l_orderkey", "l_linenumber").selectExpr(
         "CAST(CAST(l_shipdate AS DATE) AS STRING) AS date",
         "concat('gads-', CAST(l_suppkey % 40 AS STRING)) AS campaign_name",
         "CAST(l_quantity * 1000000 AS BIGINT) AS cost_micros",
@@ -150,7 +150,8 @@ def _google_ads(table: Callable[[str], DataFrame]) -> DataFrame:
 
 
 def _bing_ads(table: Callable[[str], DataFrame]) -> DataFrame:
-    return spread(table("lineitem")).where("l_returnflag = 'R'").selectExpr(
+    lines = spread(table("lineitem"), "l_orderkey", "l_linenumber")
+    return lines.where("l_returnflag = 'R'").selectExpr(
         """CASE WHEN l_linenumber = 7 THEN 'n/a' ELSE CAST(CAST(l_shipdate AS DATE) AS STRING)
         END AS date""",
         "concat('bing-', CAST(l_suppkey % 30 AS STRING)) AS campaign_name",
@@ -169,7 +170,7 @@ _AD_IDS = (
 
 
 def _ad_insights(table: Callable[[str], DataFrame]) -> DataFrame:
-    seen = spread(table("events")).where("event_type IN ('view', 'click')")
+    seen = spread(table("events"), "event_id").where("event_type IN ('view', 'click')")
     daily = seen.groupBy(F.expr("CAST(ts AS DATE) AS day"), "user_id").agg(
         F.expr("""sum(CAST(CASE WHEN event_type = 'click' THEN value ELSE 0 END
         AS DECIMAL(18,4))) AS spend"""),
@@ -188,8 +189,8 @@ def _ad_insights(table: Callable[[str], DataFrame]) -> DataFrame:
 
 
 def _ad_actions(table: Callable[[str], DataFrame]) -> DataFrame:
-    acts = spread(table("events")).where("event_type IN ('purchase', 'signup', 'error')")
-    return acts.selectExpr(
+    acts = spread(table("events"), "event_id")
+    return acts.where("event_type IN ('purchase', 'signup', 'error')").selectExpr(
         "CAST(CAST(ts AS DATE) AS STRING) AS date",
         *_AD_IDS,
         """CASE event_type WHEN 'purchase' THEN 'purchase' WHEN 'signup' THEN 'omni_purchase'
@@ -199,7 +200,7 @@ def _ad_actions(table: Callable[[str], DataFrame]) -> DataFrame:
 
 
 def _affiliate_sales(table: Callable[[str], DataFrame]) -> DataFrame:
-    return spread(table("orders")).selectExpr(
+    return spread(table("orders"), "o_orderkey").selectExpr(
         "CAST(CAST(o_orderdate AS DATE) AS STRING) AS eventdate",
         "o_orderkey - o_orderkey % 2 AS marketordernumber",
         "concat('pub-', CAST(o_custkey % 60 AS STRING)) AS publishername",

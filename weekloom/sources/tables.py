@@ -58,10 +58,14 @@ def jdbc_source(
     return read
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Share an input of fewer splits than cores among all cores; leave any larger one alone."""
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Share an input of fewer splits than cores among all cores, by the hash of ``keys``.
+
+    A larger input keeps its splits.  Hashing sends a row to the same place when a task runs
+    again and, unlike dealing rows out in turn, needs no sort for that.
+    """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
 
 
 def write_table(df: DataFrame, base: str, name: str) -> str:

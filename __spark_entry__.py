@@ -120,11 +120,8 @@ def _joined(fanout: bool) -> Query:
 
 
 def _pivot_uplift(tables: Tables) -> DataFrame:
-    # A promotion without an id is a group of its own and no brand.
     metrics = tables["promo_weekly_metrics"]
-    brands = metrics.where(F.col("promo_clean") != "None")
-    pivoted = explore.pivot(brands, "Week", "promo_clean", "total_revenue", "sum")
-    return uplift.pivot_uplift(pivoted)
+    return uplift.pivot_uplift(explore.pivot(metrics, "Week", "promo_clean", "total_revenue"))
 
 
 def _monday_sessions(source: Callable) -> DataFrame:

@@ -494,7 +494,7 @@ OUTPUTS = [
     )
 ]
 CATEGORIES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
-BRANDS = tuple(f"Brand#{i}" for i in range(1, 26))
+PROMOTIONS = (*(f"Brand#{i}" for i in range(1, 26)), "None")
 CORR = ("Total_Revenue", "Total_Profit", "Order_Count", "Total_Shipping", "Total_Discount")
 MEASURED = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
@@ -734,12 +734,12 @@ ORDER BY AVG(revenue_lift) DESC NULLS LAST, promo_clean LIMIT 10""",
         'SELECT "Week", '
         + cards(*(
             f'"{b}", CASE WHEN "NoPromotion" <> 0 THEN ("{b}" - "NoPromotion") / "NoPromotion" '
-            f'END AS "{b}_uplift"' for b in BRANDS
+            f'END AS "{b}_uplift"' for b in PROMOTIONS
         ))
         + ', "NoPromotion" FROM (SELECT "Week", '
         + cards(*(
             f"SUM(CASE WHEN promo_clean = '{b}' THEN total_revenue END) AS \"{b}\""
-            for b in ("NoPromotion", *BRANDS)
+            for b in ("NoPromotion", *PROMOTIONS)
         ))
         + ' FROM promo_weekly_metrics GROUP BY "Week")'
     ),

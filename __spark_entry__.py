@@ -27,6 +27,14 @@ from weekloom.sources.retail import retail_source  # noqa: E402
 from weekloom.sources.schemas import SCHEMAS  # noqa: E402
 from weekloom.sources.tables import fresh_folder, staged, write_table  # noqa: E402
 
+try:  # the subpackage for training data can be left out of an installation
+    import corpus_pipeline
+    from weekloom.llm import queries as llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "weekloom.llm", "weekloom.llm.queries"):
+        raise
+    llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -393,12 +401,20 @@ def queries() -> dict[str, Query]:
             d, "Total_Profit", 30, series=["majorcategory"], components=True
         ),
     )
+    if llm:
+        found |= llm.QUERIES
+        found["pipeline"] = corpus_pipeline.run
     return found
 
 
 def oracle_sql() -> dict[str, str]:
     """Query name to DuckDB SQL; the additive forecasts have none."""
-    return {name: oracle.statement(name) for name in queries() if name in oracle.STATEMENTS}
+    found = {name: oracle.statement(name) for name in queries() if name in oracle.STATEMENTS}
+    if llm:
+        found |= llm.SQL
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
 
 
 __all__ = ["OUTPUTS", "entry", "oracle_sql", "queries"]

@@ -7,12 +7,16 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weekloom.llm.storage import stored
+
 #: A Poisson count of a larger mean is a sum of independent counts with means up to this.
 PART_MEAN = 32.0
 #: Hex digits of the hash that make a uniform number: 52 bits.
 DIGITS = 13
 #: Terms that leave less than 2**-53 of a Poisson distribution of mean ``PART_MEAN``.
 TERMS = 120
+#: So many sources at most, with a name and a number each, are sent to all executors.
+BROADCAST_SOURCES = 50_000
 
 
 def uniform(*parts: Column | str) -> Column:
@@ -48,6 +52,7 @@ def source_rates(docs: DataFrame, weights: Mapping[str | None, float] | None = N
     A source without any text keeps its documents once on average, if it has a weight.
     """
     mass = docs.groupBy("source").agg(F.sum(F.length(F.coalesce("text", F.lit("")))).alias("mass"))
+    mass = stored(mass, "mass")
     if weights is None:
         weighted = mass.withColumn("weight", F.lit(1.0))
     else:
@@ -55,12 +60,11 @@ def source_rates(docs: DataFrame, weights: Mapping[str | None, float] | None = N
         rows = [(k, float(v)) for k, v in weights.items()]
         given = docs.sparkSession.createDataFrame(rows, schema)
         weighted = mass.join(given, mass["source"].eqNullSafe(given["given"])).drop("given")
-    totals = weighted.agg(F.sum("weight").alias("weights")).crossJoin(
-        mass.agg(F.sum("mass").alias("total"))
-    )
-    share = F.col("weight") / F.col("weights")
-    rate = F.when(F.col("mass") > 0, share * F.col("total") / F.col("mass"))
-    return weighted.crossJoin(totals).select(
+    total = mass.agg(F.sum("mass")).first()[0] or 0
+    weight = weighted.agg(F.sum("weight")).first()[0] or 1.0
+    share = F.col("weight") / F.lit(float(weight))
+    rate = F.when(F.col("mass") > 0, share * F.lit(total) / F.col("mass"))
+    return weighted.select(
         F.col("source").alias("_source"),
         F.coalesce(rate, F.when(F.col("weight") > 0, 1.0).otherwise(0.0)).alias("_rate"),
     )
@@ -80,7 +84,9 @@ def mix_sources(
     """
     columns = [F.col(f"`{c}`") for c in docs.columns if c != "copy"]
     packed = docs.select("doc_id", "source", F.struct(*columns).alias("_row"))
-    rates = source_rates(docs, weights)
+    rates = stored(source_rates(docs, weights), "rates")
+    if rates.count() <= BROADCAST_SOURCES:
+        rates = F.broadcast(rates)  # more sources are joined by a shuffle
     joined = packed.join(rates, packed["source"].eqNullSafe(rates["_source"]))
     parts = F.greatest(F.lit(1), F.ceil(F.col("_rate") / F.lit(PART_MEAN)))
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))

@@ -15,7 +15,7 @@ from weekloom.llm.quality import held_out
 from weekloom.llm.texts import blocks, mix, ragged, span_hashes, spans, utf8
 
 #: Labelled documents the field is fitted on, at most; chosen by a hash of the id.
-TRAIN_ROWS = 600
+TRAIN_ROWS = 400
 #: Rows of the weight table that prefixes, suffixes and n-grams are hashed to.
 BUCKETS = 1 << 17
 #: Lengths in bytes of n-grams and of the affixes that are features of their own.
@@ -24,7 +24,7 @@ NGRAMS, AFFIXES = (1, 2, 3, 4), (2, 3, 4)
 LEXICON_COUNT = 3
 #: Words of one training sequence; its two halves come from two places.
 SEQUENCE = 32
-EPOCHS, STEP, DECAY = 25, 0.15, 1e-4
+EPOCHS, STEP, DECAY = 18, 0.15, 1e-4
 #: Words of a chain whose transfer matrices are multiplied at once.
 CHUNK = 64
 #: Bytes of text handled at once.

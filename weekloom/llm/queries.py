@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 #: Modules with ``QUERIES`` (name to function of session and folder) and ``SQL`` (name to text).
-MODULES = ("language", "chat", "mixing", "quality", "simhash")
+MODULES = ("language", "chat", "mixing", "toxicity", "quality", "simhash")
 
 QUERIES = {}
 SQL = {}

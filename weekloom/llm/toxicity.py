@@ -26,9 +26,14 @@ WORD_SIZE, LETTER_SIZE, STATE = 8, 8, 8
 BUCKETS = 1 << 13
 #: Words in so many training documents have a vector of their own; others share one.
 LEXICON_COUNT = 3
-EPOCHS, MINIBATCH, STEP = 5, 256, 0.01
-#: After so many epochs only the windows scored highest count for a toxic document.
-WARM_EPOCHS = 2
+STEPS, MINIBATCH, STEP = 400, 512, 0.02
+#: Share of a minibatch drawn from toxic documents' windows.
+TOXIC_SHARE = 0.25
+#: After so many steps, and again after every REFRESH, only the BEST_WINDOWS scored highest
+#: count for a toxic document.
+WARM, REFRESH, BEST_WINDOWS = 200, 100, 2
+#: One in so many training documents is set aside to calibrate the documents' scores.
+CALIBRATION = 5
 BLOCK_BYTES = 1 << 20
 
 
@@ -41,8 +46,8 @@ def new_weights(words: int, seed: int) -> dict[str, np.ndarray]:
     size = WORD_SIZE + LETTER_SIZE
     draw = lambda *shape: rng.normal(0, 1 / np.sqrt(shape[0]), shape).astype(np.float32)
     weights = {
-        "words": rng.normal(0, 0.3, (words + 1, WORD_SIZE)).astype(np.float32),
-        "letters": rng.normal(0, 0.3, (BUCKETS, LETTER_SIZE)).astype(np.float32),
+        "words": rng.normal(0, 0.05, (words + 1, WORD_SIZE)).astype(np.float32),
+        "letters": rng.normal(0, 0.05, (BUCKETS, LETTER_SIZE)).astype(np.float32),
         "attend": draw(2 * STATE, 1)[:, 0],
         "out": draw(2 * STATE, 1)[:, 0],
         "bias": np.zeros(1, np.float32),
@@ -161,11 +166,39 @@ def cut_windows(codes: np.ndarray, counts: np.ndarray):
     return np.where(inside, codes[at], -1) if len(codes) else np.full(at.shape, -1), rows
 
 
+def calibration_inputs(highest: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    p = np.clip(highest, 1e-6, 1 - 1e-6)
+    return np.log(p / (1 - p)), np.log(number)
+
+
+def calibrate(
+    highest: np.ndarray, number: np.ndarray, toxic: np.ndarray, weight: np.ndarray
+) -> tuple[float, float, float]:
+    """Logistic regression of labels on the highest window's logit and the number of windows.
+
+    More windows give a clean document more chances of a high one.  ``weight`` restores the
+    shares that labels have outside the sample.  Newton's steps with a small penalty towards the
+    window score itself.
+    """
+    x = np.stack([np.ones(len(toxic)), *calibration_inputs(highest, number)], 1)
+    prior = np.array([0.0, 1.0, 0.0])
+    beta = prior.copy()
+    for _ in range(25):
+        p = _sigmoid(x @ beta)
+        slope = x.T @ (weight * (toxic - p)) - (beta - prior)
+        curve = (x * (weight * p * (1 - p))[:, None]).T @ x + np.eye(3)
+        move = np.linalg.solve(curve, slope)
+        beta += move * min(1.0, 2.0 / max(np.abs(move).max(), 1e-12))
+    beta[1] = max(beta[1], 0.05)
+    return tuple(float(b) for b in beta)
+
+
 @dataclass(frozen=True)
 class Network:
     weights: dict[str, np.ndarray]
     lexicon: np.ndarray  # sorted hashes of words with vectors of their own
     base: float  # the score of a text without words
+    scale: tuple[float, float, float] = (0.0, 1.0, 0.0)  # calibration, see calibrate()
 
     def vectors(self, data, starts, lengths, hashes) -> np.ndarray:
         """The input of each word: its own vector beside the mean of its letter vectors."""
@@ -174,6 +207,12 @@ class Network:
         mean = np.add.reduceat(letters, bounds[:-1]) / np.diff(bounds)[:, None].astype(np.float32)
         return np.concatenate([self.weights["words"][lexicon_rows(self.lexicon, hashes)], mean], 1)
 
+    def calibrated(self, highest: np.ndarray, number: np.ndarray) -> np.ndarray:
+        """A document's score from its highest window score and its number of windows."""
+        logit, longer = calibration_inputs(highest, number)
+        shift, slope, length = self.scale
+        return _sigmoid(np.clip(shift + slope * logit + length * longer, -30, 30))
+
     def scores(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Highest window score of each text, where that window starts, and the windows' number."""
         data, offsets = lowered(texts)
@@ -189,27 +228,37 @@ class Network:
         number = np.bincount(owner, minlength=n)
         begin = np.cumsum(number) - number
         some = number > 0
-        best[some] = np.maximum.reduceat(p, begin[some])
-        hit = np.flatnonzero(p >= best[owner])[::-1]
+        best[some] = self.calibrated(np.maximum.reduceat(p, begin[some]), number[some])
+        highest = np.zeros(n)
+        highest[some] = np.maximum.reduceat(p, begin[some])
+        hit = np.flatnonzero(p >= highest[owner])[::-1]
         place[owner[hit]] = (hit - begin[owner[hit]]) * STRIDE
         return best, place, number
 
 
-def fit_network(texts: list[str], toxic: np.ndarray, seed: int = 11) -> Network:
-    """Fit by Adam on all overlapping windows; every window starts with its document's label.
+def constant_network(base: float, seed: int) -> Network:
+    weights = new_weights(0, seed)
+    weights["out"][:] = 0
+    weights["bias"][:] = np.log(base / (1 - base))
+    return Network(weights, np.zeros(0, np.uint64), base)
+
 
-    After WARM_EPOCHS a toxic document counts by its quarter of windows with the highest scores
-    only: what is toxic need not fill the document.  With labels of one kind, or none, every
-    text gets the share of toxic labels (one half without labels).
+def fit_network(
+    texts: list[str], toxic: np.ndarray, toxic_share: float | None = None, seed: int = 11
+) -> Network:
+    """Fit by Adam on overlapping windows; every window starts with its document's label.
+
+    After WARM steps a toxic document counts by its BEST_WINDOWS only: what is toxic need not
+    fill the document.  One in CALIBRATION documents is kept out, to calibrate the documents'
+    scores on.  With labels of one kind, or none, every text gets the share of toxic labels (one
+    half without labels).  ``toxic_share`` is the share of toxic documents outside the sample.
     """
     base = float((toxic.sum() + 0.5) / (len(toxic) + 1))
+    toxic_share = base if toxic_share is None else toxic_share
     data, offsets = lowered(pa.array(texts, pa.string()))
     starts, lengths, rows = word_spans(data, offsets)
     if len(starts) == 0 or len(np.unique(toxic)) < 2:
-        weights = new_weights(0, seed)
-        weights["out"][:] = 0
-        weights["bias"][:] = np.log(base / (1 - base))
-        return Network(weights, np.zeros(0, np.uint64), base)
+        return constant_network(base, seed)
     hashes, first, codes = distinct_words(data, starts, lengths)
     in_documents = pd.DataFrame({"row": rows, "code": codes}).drop_duplicates()["code"]
     lexicon = np.sort(hashes[np.bincount(in_documents, minlength=len(hashes)) >= LEXICON_COUNT])
@@ -220,10 +269,16 @@ def fit_network(texts: list[str], toxic: np.ndarray, seed: int = 11) -> Network:
     w = new_weights(len(lexicon), seed)
     windows, owner = cut_windows(codes, np.bincount(rows, minlength=len(texts)))
     label = toxic[owner].astype(np.float32)
-    use = np.arange(len(windows))
+    apart = np.zeros(len(texts), bool)
+    if min(toxic.sum(), len(toxic) - toxic.sum()) >= 2 * CALIBRATION:
+        for value in (0, 1):
+            apart[np.flatnonzero(toxic == value)[::CALIBRATION]] = True
+    clean = np.flatnonzero((label == 0) & ~apart[owner])
+    toxic_windows = np.flatnonzero((label == 1) & ~apart[owner])
     momenta = {k: np.zeros_like(v) for k, v in w.items()}
     squares = {k: np.zeros_like(v) for k, v in w.items()}
-    rng, step = np.random.default_rng(seed), 0
+    squares["words"] = squares["letters"] = np.zeros(1)
+    rng = np.random.default_rng(seed)
 
     def inputs(words: np.ndarray):
         where, _ = ragged(bounds[:-1][words], sizes[words])
@@ -231,48 +286,67 @@ def fit_network(texts: list[str], toxic: np.ndarray, seed: int = 11) -> Network:
         mean /= sizes[words][:, None].astype(np.float32)
         return np.concatenate([w["words"][lexicon_at[words]], mean], 1), where
 
-    def scored(block: int = 4096) -> np.ndarray:
-        out = []
-        for at in range(0, len(windows), block):
-            words, place = np.unique(windows[at : at + block], return_inverse=True)
+    def scored(which: np.ndarray, block: int = 4096) -> np.ndarray:
+        out = [np.zeros(0, np.float32)]
+        for at in range(0, len(which), block):
+            taken = windows[which[at : at + block]]
+            words, place = np.unique(taken, return_inverse=True)
             table, _ = inputs(np.maximum(words, 0))
-            part = np.where(windows[at : at + block] < 0, -1, place.reshape(-1, WINDOW))
+            part = np.where(taken < 0, -1, place.reshape(-1, WINDOW))
             out.append(score_windows(table, part, w))
         return np.concatenate(out)
 
-    for epoch in range(EPOCHS):
-        if epoch == WARM_EPOCHS:
-            p = scored()
-            frame = pd.DataFrame({"owner": owner, "p": p})
+    if not len(clean) or not len(toxic_windows):
+        return constant_network(base, seed)
+    best = toxic_windows
+    toxic_size = int(TOXIC_SHARE * MINIBATCH)
+    for step in range(1, STEPS + 1):
+        if step > WARM and (step - WARM) % REFRESH == 1:
+            frame = pd.DataFrame({"owner": owner[toxic_windows], "p": scored(toxic_windows)})
             rank = frame.groupby("owner")["p"].rank(ascending=False, method="first").to_numpy()
-            quarter = np.ceil(frame.groupby("owner")["p"].transform("size").to_numpy() / 4)
-            use = np.flatnonzero((label == 0) | (rank <= quarter))
-        balance = np.where(label == 1, 0.5 / max(label[use].mean(), 1e-3), 1.0).clip(max=4.0)
-        for chosen in np.array_split(rng.permutation(use), max(1, len(use) // MINIBATCH)):
-            words, place = np.unique(windows[chosen], return_inverse=True)
-            table, where = inputs(np.maximum(words, 0))
-            part = np.where(windows[chosen] < 0, -1, place.reshape(-1, WINDOW))
-            counts = balance[chosen].astype(np.float32)
-            _, grads, d_table = score_windows(table, part, w, label[chosen], counts)
-            words = np.maximum(words, 0)
-            spread = np.repeat(np.arange(len(words)), sizes[words])
-            d_mean = d_table[:, WORD_SIZE:] / sizes[words][:, None]
-            touched = {"words": np.unique(lexicon_at[words]), "letters": np.unique(buckets[where])}
-            for name, key, slope in (
-                ("words", lexicon_at[words], d_table[:, :WORD_SIZE]),
-                ("letters", buckets[where], d_mean[spread]),
-            ):
-                index = np.searchsorted(touched[name], key)
-                size = len(touched[name])
-                grads[name] = np.stack([np.bincount(index, c, size) for c in slope.T], 1)
-            step += 1
-            for name, g in grads.items():
-                at = touched.get(name, slice(None))
-                m = momenta[name][at] = 0.9 * momenta[name][at] + 0.1 * g
-                s = squares[name][at] = 0.999 * squares[name][at] + 0.001 * g * g
-                fixed = np.sqrt(s / (1 - 0.999**step)) + 1e-7
-                w[name][at] -= (STEP * m / (1 - 0.9**step) / fixed).astype(np.float32)
-    return Network(w, lexicon, base)
+            best = toxic_windows[rank <= BEST_WINDOWS]
+        chosen = np.concatenate(
+            [rng.choice(best, toxic_size), rng.choice(clean, MINIBATCH - toxic_size)]
+        )
+        words, place = np.unique(windows[chosen], return_inverse=True)
+        table, where = inputs(np.maximum(words, 0))
+        part = np.where(windows[chosen] < 0, -1, place.reshape(-1, WINDOW))
+        counts = np.ones(len(chosen), np.float32)
+        _, grads, d_table = score_windows(table, part, w, label[chosen], counts)
+        words = np.maximum(words, 0)
+        spread = np.repeat(np.arange(len(words)), sizes[words])
+        d_mean = d_table[:, WORD_SIZE:] / sizes[words][:, None]
+        touched = {"words": np.unique(lexicon_at[words]), "letters": np.unique(buckets[where])}
+        for name, key, slope in (
+            ("words", lexicon_at[words], d_table[:, :WORD_SIZE]),
+            ("letters", buckets[where], d_mean[spread]),
+        ):
+            index = np.searchsorted(touched[name], key)
+            size = len(touched[name])
+            grads[name] = np.stack([np.bincount(index, c, size) for c in slope.T], 1)
+        for name, g in grads.items():
+            at = touched.get(name, slice(None))
+            m = momenta[name][at] = 0.9 * momenta[name][at] + 0.1 * g
+            # one scale for a whole table of vectors: words seen often move further
+            square = (g * g).mean() if name in touched else g * g
+            squares[name] = s = 0.99 * squares[name] + 0.01 * square
+            fixed = np.sqrt(s / (1 - 0.99**step)) + 1e-7
+            w[name][at] -= (STEP * m / (1 - 0.9**step) / fixed).astype(np.float32)
+    scale = (0.0, 1.0, 0.0)
+    if apart.any():
+        seen = np.flatnonzero(apart[owner])
+        frame = pd.DataFrame({"owner": owner[seen], "p": scored(seen)}).groupby("owner")["p"]
+        highest, number = frame.max(), frame.size()
+        is_toxic = toxic[highest.index] == 1
+        share = np.where(is_toxic, toxic_share, 1 - toxic_share)
+        share = share / np.where(is_toxic, is_toxic.mean(), 1 - is_toxic.mean())
+        scale = calibrate(
+            highest.to_numpy(float),
+            number.to_numpy(float),
+            toxic[highest.index],
+            share / share.mean(),
+        )
+    return Network(w, lexicon, base, scale)
 
 
 def score_toxicity(
@@ -290,7 +364,9 @@ def score_toxicity(
     out = held_out(F.col("doc_id"), 3, 1)
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
     known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
-    known = known.where(~out)
+    known = known.where(~out & F.col("toxic").isin(0, 1))
+    counts = {row["toxic"]: row["count"] for row in known.groupBy("toxic").count().collect()}
+    toxic_share = (counts.get(1, 0) + 0.5) / (counts.get(0, 0) + counts.get(1, 0) + 1)
     chosen = None
     for value in (0, 1):
         part = known.where(F.col("toxic") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows)
@@ -304,7 +380,7 @@ def score_toxicity(
         .sort_values("doc_id")
     )
     texts = [t or "" for t in sample["text"]]
-    network = fit_network(texts, sample["toxic"].to_numpy(float))
+    network = fit_network(texts, sample["toxic"].to_numpy(float), toxic_share)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, _, _ in blocks(batches, BLOCK_BYTES):

@@ -309,17 +309,14 @@ def identify_languages(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFra
     """Languages by a field learnt from the documents' own labels; see :func:`label_languages`.
 
     It is fitted on at most ``train_rows`` documents with a language whose CRC-32 of the id mod 5
-    is not 0.  Rows without ``doc_id`` are left out, repeated rows come out as often, an empty
+    is not 0 (one row of each).  Rows without ``doc_id`` are left out, repeated rows come out as often, an empty
     table gives an empty result.  Other columns are not read.
     """
     out = held_out(F.col("doc_id"), 5, 0)
-    sample = (
-        docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~out)
-        .select("doc_id", "text", "lang")
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "text")
-        .limit(train_rows)
-        .toPandas()
-    )
+    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~out)
+    chosen = known.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows)
+    sample = known.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "lang")
+    sample = sample.dropDuplicates(["doc_id"]).toPandas().sort_values("doc_id")
     field = fit_field(sample["text"].tolist(), sample["lang"].tolist())
     return label_languages(docs, field).withColumn("held_out", out).select(
         "doc_id", "held_out", "lang_pred", "score", "n_words", "n_switches", "word_langs"

@@ -222,15 +222,15 @@ def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
 
 
 def training_rows(stats: DataFrame, labels: DataFrame, label: str, rows: int) -> pd.DataFrame:
-    """At most ``rows`` labelled documents, those with the smallest hashes of their ids."""
+    """The documents of at most ``rows`` labels, those with the smallest hashes of their ids.
+
+    Ids are chosen first, so no more than the sample's statistics reach the driver.
+    """
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
     known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(label).alias("label"))
-    return (
-        stats.join(known, "doc_id")
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(rows)
-        .toPandas()
-    )
+    known = known.where(~held_out(F.col("doc_id"), 4, 2))
+    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    return stats.join(F.broadcast(chosen), "doc_id").toPandas().sort_values("doc_id")
 
 
 def score_quality(
@@ -247,7 +247,7 @@ def score_quality(
     """
     stats = stored(document_statistics(docs), "statistics")
     out = held_out(F.col("doc_id"), 4, 2)
-    sample = training_rows(stats.where(~out), labels, "quality", train_rows)
+    sample = training_rows(stats, labels, "quality", train_rows)
     x = np.array(sample["stats"].tolist(), np.float32).reshape(len(sample), len(STATISTICS))
     trees = fit_trees(x, sample["label"].to_numpy(float))
 

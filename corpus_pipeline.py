@@ -7,14 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from weekloom.llm.mixing import mix_stage
+from weekloom.llm.pieces import encode_stage
+from weekloom.llm.quality import drop_rejected
+from weekloom.llm.repeats import drop_repeats
 from weekloom.llm.simhash import drop_near_duplicates
 from weekloom.llm.storage import stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality classifier", drop_rejected),
     ("SimHash near-dedup", drop_near_duplicates),
+    ("suffix-array dedup", drop_repeats),
     ("mixing sources to target weights", mix_stage),
+    ("SentencePiece encoding and decoding", encode_stage),
 ]
 
 #: Models and hashes without a SQL counterpart take part in the stages.

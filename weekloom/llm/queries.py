@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 #: Modules with ``QUERIES`` (name to function of session and folder) and ``SQL`` (name to text).
-MODULES = ("language", "chat", "vptree", "mixing", "toxicity", "quality", "simhash", "hnsw", "pieces")
+MODULES = ("language", "chat", "vptree", "repeats", "mixing", "toxicity", "quality", "simhash", "pieces", "hnsw")
 
 QUERIES = {}
 SQL = {}

@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 
 from weekloom.llm.components import components
 from weekloom.llm.storage import stored
-from weekloom.llm.vptree import _matrix, usable
+from weekloom.llm.vptree import usable
 
 THRESHOLD = 0.98
 #: Vectors of a shard, and vectors of a block of queries, on average.
-SHARD_ROWS, BLOCK_ROWS = 2_048, 2_048
+SHARD_ROWS, BLOCK_ROWS = 8_192, 2_048
 #: Links of a node in one direction; the lowest layer has twice as many.
 LINKS = 12
 #: First width of the beam, and queries whose links are recounted by brute force in an audit.
@@ -152,7 +152,7 @@ class Graph:
         A beam is widened until an audit by brute force of evenly spaced queries finds the
         recall reached; a query whose beam is full of links goes on with a wider beam alone.
         """
-        low = threshold - 1e-6
+        low = threshold - 1e-5  # single precision
         audit = np.unique(np.linspace(0, len(queries) - 1, min(AUDIT, len(queries))).astype(int))
         truth = (queries[audit] @ self.unit.T >= low).sum()
         width, found = BEAM, 0
@@ -184,17 +184,48 @@ def exact_cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return dot / np.sqrt(aa * bb)
 
 
-def similar_pairs(
+def star_edges(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges from each node to the least node it is connected with by the given edges."""
+    nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    u, v = ends[: len(a)], ends[len(a) :]
+    least = np.arange(len(nodes))
+    while True:
+        before = least.copy()
+        low = np.minimum(least[u], least[v])
+        np.minimum.at(least, u, low)
+        np.minimum.at(least, v, low)
+        least = least[least]
+        if (least == before).all():
+            moved = least != np.arange(len(nodes))
+            return nodes[moved], nodes[least[moved]]
+
+
+def _unpacked(rows: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids, vectors and numbers of copies of a packed group."""
+    ids, vectors, copies = rows.flatten()
+    ids = ids.to_numpy(zero_copy_only=False)
+    values = vectors.flatten().to_numpy(zero_copy_only=False)
+    return ids, values.reshape(len(ids), -1), copies.to_numpy(zero_copy_only=False)
+
+
+def _unit(vectors: np.ndarray) -> np.ndarray:
+    return (vectors / np.linalg.norm(vectors, axis=1, keepdims=True)).astype(np.float32)
+
+
+def shard_links(
     classes: DataFrame,
     threshold: float = THRESHOLD,
     shard_rows: int = SHARD_ROWS,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Pairs (a < b) of ``vec_id`` with equal labels and a cosine of ``threshold`` or more.
-
-    ``classes`` has ``vec_id``, ``label``, ``embedding`` (doubles), all different.  Each label's vectors
-    are dealt to shards by a hash of the id, as many as its size needs; a block of vectors
-    queries every shard of its label.  Found pairs are verified by :func:`exact_cosine`.
+    """Links within equal labels at a cosine of ``threshold`` or more, summed up where found.
+
+    ``classes`` has ``vec_id``, ``label``, ``embedding`` (doubles) and ``copies``, vectors all different.  Each label's
+    vectors are dealt to shards by a hash of the id, as many as its size needs; a block of
+    vectors queries every shard of its label, and what it meets is verified by
+    :func:`exact_cosine`.  Rows (a, b, others): with b null, ``others`` is the number of vectors of
+    one shard linked to a; otherwise a and b are connected by links of one visit.  So a group
+    of many near copies leaves a row for each of them, not for each pair.
     """
     sizes = classes.groupBy("label").agg(F.count(F.lit(1)).alias("rows"))
     sizes = sizes.select(
@@ -204,7 +235,7 @@ def similar_pairs(
     )
     dealt = classes.join(sizes, "label")
     place = lambda n: F.pmod(F.xxhash64("vec_id"), F.col(n)).cast("int")
-    packed = F.sort_array(F.collect_list(F.struct("vec_id", "embedding")))
+    packed = F.sort_array(F.collect_list(F.struct("vec_id", "embedding", "copies")))
     # one row holds a shard or a block of bounded size
     index = dealt.groupBy("label", place("shards").alias("shard")).agg(packed.alias("points"))
     blocks = dealt.groupBy("label", "shards", place("blocks").alias("block")).agg(packed.alias("asked"))
@@ -218,19 +249,33 @@ def similar_pairs(
                 now = batch.column("label")[i].as_py(), batch.column("shard")[i].as_py()
                 if now != key:
                     key = now
-                    ids, points = _matrix(batch.column("points")[i].values)
-                    graph = Graph(ids, points / np.linalg.norm(points, axis=1, keepdims=True))
-                asked_ids, asked = _matrix(batch.column("asked")[i].values)
-                unit = asked / np.linalg.norm(asked, axis=1, keepdims=True)
-                rows, hits = graph.links_of(unit, threshold)
-                ahead = asked_ids[rows] < ids[hits]  # the other way round is met as well
-                rows, hits = rows[ahead], hits[ahead]
-                sure = exact_cosine(asked[rows], points[hits]) >= threshold
+                    ids, points, copies = _unpacked(batch.column("points")[i].values)
+                    graph = Graph(ids, _unit(points))
+                asked_ids, asked, _ = _unpacked(batch.column("asked")[i].values)
+                rows, hits = graph.links_of(_unit(asked), threshold)
+                other = asked_ids[rows] != ids[hits]
+                rows, hits = rows[other], hits[other]
+                sure = np.zeros(len(rows), bool)
+                for at in range(0, len(rows), 1 << 16):
+                    part = slice(at, at + (1 << 16))
+                    sure[part] = exact_cosine(asked[rows[part]], points[hits[part]]) >= threshold
+                rows, hits = rows[sure], hits[sure]
+                others = np.bincount(rows, copies[hits], len(asked_ids)).astype(np.int64)
+                met = np.flatnonzero(others)
+                a, b = star_edges(asked_ids[rows], ids[hits])
+                nodes = np.concatenate([asked_ids[met], a])
+                counts = np.concatenate([others[met], np.zeros(len(a), np.int64)])
+                ends = np.concatenate([np.zeros(len(met), np.int64), b])
+                edge = np.arange(len(nodes)) >= len(met)
                 yield pa.record_batch(
-                    {"a": pa.array(asked_ids[rows[sure]]), "b": pa.array(ids[hits[sure]])}
+                    {
+                        "a": pa.array(nodes),
+                        "b": pa.array(ends, mask=~edge),
+                        "others": pa.array(counts, mask=edge),
+                    }
                 )
 
-    return pairs.mapInArrow(link, "a long, b long")
+    return pairs.mapInArrow(link, "a long, b long, others long")
 
 
 def near_duplicate_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -253,12 +298,11 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = THRESHOLD) ->
         F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies")
     )
     classes = stored(classes, "classes")
-    searched = classes.select(F.col("rep").alias("vec_id"), "label", "embedding")
-    pairs = stored(similar_pairs(searched, threshold).distinct(), "pairs")
-    size = classes.select(F.col("rep").alias("b"), "copies")
-    both = pairs.union(pairs.select(F.col("b"), F.col("a"))).toDF("rep", "b")
-    links = both.join(size, "b").groupBy("rep").agg(F.sum("copies").alias("others"))
-    groups = components(pairs).select(F.col("node").alias("rep"), "component")
+    searched = classes.select(F.col("rep").alias("vec_id"), "label", "embedding", "copies")
+    found = stored(shard_links(searched, threshold), "links")
+    links = found.where("b IS NULL").groupBy(F.col("a").alias("rep")).agg(F.sum("others").alias("others"))
+    edges = found.where("b IS NOT NULL").select("a", "b")
+    groups = components(edges).select(F.col("node").alias("rep"), "component")
     known = classes.join(links, "rep", "left").join(groups, "rep", "left").select(
         "label",
         "embedding",

@@ -17,11 +17,15 @@ from weekloom.llm.vptree import usable
 
 THRESHOLD = 0.98
 #: Vectors of a shard, and vectors of a block of queries, on average.
-SHARD_ROWS, BLOCK_ROWS = 8_192, 2_048
+SHARD_ROWS, BLOCK_ROWS = 4_096, 2_048
 #: Links of a node in one direction; the lowest layer has twice as many.
 LINKS = 12
 #: First width of the beam, and queries whose links are recounted by brute force in an audit.
 BEAM, AUDIT = 16, 128
+#: Nodes of the layer above from which a beam starts.
+ENTRIES = 4
+#: How far below the threshold a wider beam follows links, more with each widening.
+FLOOR_STEP = 0.01
 #: Share of the audited links a beam must find.
 RECALL = 1.0
 
@@ -89,22 +93,14 @@ class Graph:
             self.layers.append(Layer(members, _neighbours(unit, members, LINKS)))
 
     def descend(self, queries: np.ndarray) -> np.ndarray:
-        """The node each query reaches greedily on the way down to the lowest layer."""
-        top = self.layers[-1].members[0]
-        at = np.full(len(queries), top)
-        best = np.einsum("qd,d->q", queries, self.unit[top])
+        """The nodes each query enters the lowest layer at: the ENTRIES nearest of those a beam
+        meets in the layers above, which it walks from the top."""
+        at = np.broadcast_to(self.layers[-1].members[:1], (len(queries), 1))
         for layer in self.layers[:0:-1]:
-            moving = np.arange(len(queries))
-            while len(moving):
-                links = layer.links[at[moving]]
-                near = np.einsum("qd,qkd->qk", queries[moving], self.unit[links])
-                near = np.where(links >= 0, near, -np.inf)
-                pick = near.argmax(axis=1)
-                value = near[np.arange(len(moving)), pick]
-                better = value > best[moving]
-                moving, pick, value = moving[better], pick[better], value[better]
-                at[moving] = layer.links[at[moving], pick]
-                best[moving] = value
+            near = queries @ self.unit[layer.members].T
+            wide = min(ENTRIES, near.shape[1])
+            best = np.argpartition(-near, wide - 1, axis=1)[:, :wide]
+            at = layer.members[best]
         return at
 
     def beam(self, queries: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -114,12 +110,13 @@ class Graph:
         q = np.arange(len(queries))
         entry = self.descend(queries)
         nodes = np.full((len(queries), width), -1, np.int64)
-        near = np.full((len(queries), width), -np.inf)
+        near = np.full((len(queries), width), -np.inf, np.float32)
         fresh = np.zeros((len(queries), width), bool)
-        nodes[:, 0], fresh[:, 0] = entry, True
-        near[:, 0] = np.einsum("qd,qd->q", queries, self.unit[entry])
+        entries = min(width, entry.shape[1])
+        nodes[:, :entries], fresh[:, :entries] = entry[:, :entries], True
+        near[:, :entries] = np.einsum("qd,qed->qe", queries, self.unit[entry[:, :entries]])
         seen = np.zeros((len(queries), n), bool)
-        seen[q, entry] = True
+        seen[q[:, None], entry[:, :entries]] = True
         active = q
         while len(active):
             order = np.where(fresh[active], near[active], -np.inf)
@@ -133,7 +130,7 @@ class Graph:
             new = (around >= 0) & ~seen[active[:, None], around]
             rows, cols = np.nonzero(new)
             seen[active[rows], around[rows, cols]] = True
-            value = np.full(around.shape, -np.inf)
+            value = np.full(around.shape, -np.inf, np.float32)
             value[rows, cols] = np.einsum(
                 "rd,rd->r", queries[active[rows]], self.unit[around[rows, cols]]
             )
@@ -146,32 +143,55 @@ class Graph:
             fresh[active] = np.take_along_axis(all_fresh, keep, 1) & np.isfinite(near[active])
         return nodes, near
 
+    def within(self, queries: np.ndarray, width: int, low: float, floor: float):
+        """Pairs (query, node) at or above ``low``: a beam finds the neighbourhood, from where all
+        nodes at or above ``floor`` are followed along their links, however many there are."""
+        links = self.layers[0].links
+        nodes, near = self.beam(queries, width)
+        row, col = np.nonzero(near >= floor)
+        front, value = nodes[row, col], near[row, col]
+        seen = np.zeros((len(queries), len(self.unit)), bool)
+        seen[row, front] = True
+        rows, hits = [row[value >= low]], [front[value >= low]]
+        while len(front):
+            around = links[front]
+            owner = np.repeat(row, around.shape[1])
+            around = around.ravel()
+            new = around >= 0
+            new[new] = ~seen[owner[new], around[new]]
+            pairs = np.unique(owner[new] * len(self.unit) + around[new])
+            row, front = np.divmod(pairs, len(self.unit))
+            seen[row, front] = True
+            value = np.concatenate(
+                [np.zeros(0, np.float32)]
+                + [
+                    np.einsum("rd,rd->r", queries[row[at : at + 65536]], self.unit[front[at : at + 65536]])
+                    for at in range(0, len(row), 65536)
+                ]
+            )
+            rows.append(row[value >= low])
+            hits.append(front[value >= low])
+            row, front = row[value >= floor], front[value >= floor]
+        return np.concatenate(rows), np.concatenate(hits)
+
     def links_of(self, queries: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
         """Pairs (query, node) at or above ``threshold`` (less rounding), by ever wider beams.
 
-        A beam is widened until an audit by brute force of evenly spaced queries finds the
-        recall reached; a query whose beam is full of links goes on with a wider beam alone.
+        An audit counts the links of evenly spaced queries by brute force.  Until RECALL of them
+        is found, the beam gets twice as wide and its floor lower; a beam as wide as the shard
+        is brute force for all queries.
         """
         low = threshold - 1e-5  # single precision
         audit = np.unique(np.linspace(0, len(queries) - 1, min(AUDIT, len(queries))).astype(int))
         truth = (queries[audit] @ self.unit.T >= low).sum()
-        width, found = BEAM, 0
+        width, floor = BEAM, low
         while width < len(self.unit):
-            _, near = self.beam(queries[audit], width)
-            found = (near >= low).sum()
-            if found >= RECALL * truth:
-                break
-            width *= 2
-        todo, rows, hits = np.arange(len(queries)), [], []
-        while len(todo):
-            nodes, near = self.beam(queries[todo], width)
-            link = near >= low
-            full = link.all(axis=1) & (width < len(self.unit))
-            row, col = np.nonzero(link & ~full[:, None])
-            rows.append(todo[row])
-            hits.append(nodes[row, col])
-            todo, width = todo[full], width * 2
-        return np.concatenate(rows), np.concatenate(hits)
+            if len(self.within(queries[audit], width, low, floor)[0]) >= RECALL * truth:
+                return self.within(queries, width, low, floor)
+            width, floor = 2 * width, floor - FLOOR_STEP
+        parts = [np.nonzero(queries[at : at + 512] @ self.unit.T >= low) for at in range(0, len(queries), 512)]
+        rows = [part[0] + 512 * i for i, part in enumerate(parts)]
+        return np.concatenate(rows), np.concatenate([part[1] for part in parts])
 
 
 def exact_cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:

@@ -65,7 +65,10 @@ def _neighbours(unit: np.ndarray, members: np.ndarray, links: int) -> np.ndarray
         out[members[at + node], slot] = members[candidates[node, place]]
     node, slot = np.nonzero(out >= 0)
     source, target = node, out[node, slot]
-    room = (out[:, :] >= 0).sum(axis=1)
+    size = np.int64(len(unit))
+    fresh = ~np.isin(target * size + source, source * size + target)  # not linked already
+    source, target = source[fresh], target[fresh]
+    room = (out >= 0).sum(axis=1)
     order = np.argsort(target, kind="stable")
     target, source = target[order], source[order]
     inner = np.arange(len(target)) - np.searchsorted(target, target)
@@ -149,6 +152,9 @@ class Graph:
         links = self.layers[0].links
         nodes, near = self.beam(queries, width)
         row, col = np.nonzero(near >= floor)
+        # a beam can hold a node twice
+        _, once = np.unique(row * len(self.unit) + nodes[row, col], return_index=True)
+        row, col = row[once], col[once]
         front, value = nodes[row, col], near[row, col]
         seen = np.zeros((len(queries), len(self.unit)), bool)
         seen[row, front] = True

@@ -34,6 +34,8 @@ TOXIC_SHARE = 0.25
 WARM, REFRESH, BEST_WINDOWS = 200, 100, 2
 #: One in so many training documents is set aside to calibrate the documents' scores.
 CALIBRATION = 5
+#: Steps between two looks at the documents set aside.
+JUDGE = 50
 BLOCK_BYTES = 1 << 20
 
 
@@ -249,8 +251,8 @@ def fit_network(
     """Fit by Adam on overlapping windows; every window starts with its document's label.
 
     After WARM steps a toxic document counts by its BEST_WINDOWS only: what is toxic need not
-    fill the document.  One in CALIBRATION documents is kept out, to calibrate the documents'
-    scores on.  With labels of one kind, or none, every text gets the share of toxic labels (one
+    fill the document.  One in CALIBRATION documents is kept out, to choose among
+    the weights on the way and to calibrate the documents' scores.  With labels of one kind, or none, every text gets the share of toxic labels (one
     half without labels).  ``toxic_share`` is the share of toxic documents outside the sample.
     """
     base = float((toxic.sum() + 0.5) / (len(toxic) + 1))
@@ -298,6 +300,22 @@ def fit_network(
 
     if not len(clean) or not len(toxic_windows):
         return constant_network(base, seed)
+    seen = np.flatnonzero(apart[owner])
+
+    def judged() -> tuple[float, tuple[float, float, float]]:
+        """Loss and calibration on the documents set aside."""
+        frame = pd.DataFrame({"owner": owner[seen], "p": scored(seen)}).groupby("owner")["p"]
+        highest, number = frame.max(), frame.size()
+        is_toxic = toxic[highest.index] == 1
+        share = np.where(is_toxic, toxic_share, 1 - toxic_share)
+        share = share / np.where(is_toxic, is_toxic.mean(), 1 - is_toxic.mean())
+        share /= share.mean()
+        logit, longer = calibration_inputs(highest.to_numpy(float), number.to_numpy(float))
+        found = calibrate(highest.to_numpy(float), number.to_numpy(float), is_toxic, share)
+        p = _sigmoid(found[0] + found[1] * logit + found[2] * longer).clip(1e-6, 1 - 1e-6)
+        return float(-(share * np.log(np.where(is_toxic, p, 1 - p))).mean()), found
+
+    kept, scale, least = w, (0.0, 1.0, 0.0), np.inf
     best = toxic_windows
     toxic_size = int(TOXIC_SHARE * MINIBATCH)
     for step in range(1, STEPS + 1):
@@ -332,21 +350,11 @@ def fit_network(
             squares[name] = s = 0.99 * squares[name] + 0.01 * square
             fixed = np.sqrt(s / (1 - 0.99**step)) + 1e-7
             w[name][at] -= (STEP * m / (1 - 0.9**step) / fixed).astype(np.float32)
-    scale = (0.0, 1.0, 0.0)
-    if apart.any():
-        seen = np.flatnonzero(apart[owner])
-        frame = pd.DataFrame({"owner": owner[seen], "p": scored(seen)}).groupby("owner")["p"]
-        highest, number = frame.max(), frame.size()
-        is_toxic = toxic[highest.index] == 1
-        share = np.where(is_toxic, toxic_share, 1 - toxic_share)
-        share = share / np.where(is_toxic, is_toxic.mean(), 1 - is_toxic.mean())
-        scale = calibrate(
-            highest.to_numpy(float),
-            number.to_numpy(float),
-            toxic[highest.index],
-            share / share.mean(),
-        )
-    return Network(w, lexicon, base, scale)
+        if len(seen) and step % JUDGE == 0:  # the weights that judge unseen documents best stay
+            loss, found = judged()
+            if loss < least:
+                kept, scale, least = {k: v.copy() for k, v in w.items()}, found, loss
+    return Network(kept, lexicon, base, scale)
 
 
 def score_toxicity(

@@ -25,11 +25,19 @@ def sample(rows=400):
     return data
 
 
-@pytest.fixture(params=[None, 40], ids=["whole", "cut"])
-def cut(request, monkeypatch):
-    """Cut groups of over 40 rows, as it is done for large ones."""
-    if request.param:
-        monkeypatch.setattr(positions, "ROWS_PER_RANGE", request.param)
+RANGES = {"spark.sql.shuffle.partitions": "13", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+
+
+@pytest.fixture(params=[False, True], ids=["united", "apart"])
+def cut(request, spark):
+    """Small ranges united, as adaptive execution does it, or kept apart."""
+    before = {name: spark.conf.get(name) for name in RANGES}
+    for name, value in RANGES.items():
+        if request.param:
+            spark.conf.set(name, value)
+    yield request.param
+    for name, value in before.items():
+        spark.conf.set(name, value)
 
 
 @pytest.fixture(scope="module")
@@ -119,15 +127,30 @@ def test_describe_times(spark):
         assert row[stat] == expected[name].to_pydatetime()
 
 
-def test_running_total_does_not_depend_on_ranges(spark, monkeypatch):
+def test_running_total_does_not_depend_on_ranges(spark, cut):
     df = spark.range(5000).selectExpr("id % 3 AS g", "id * 7 % 5003 AS x", "id % 11 AS w")
-    plain = positions.running_total(positions.with_ranges(df, ["g"], "x"), ["g"], "x", "w", "s")
-    monkeypatch.setattr(positions, "ROWS_PER_RANGE", 100)
     ranged = positions.with_ranges(df, ["g"], "x")
-    assert ranged.select(positions.RANGE).distinct().count() > 10
-    cut = positions.running_total(ranged, ["g"], "x", "w", "s")
-    assert plain.exceptAll(cut.select(plain.columns)).count() == 0
-    assert plain.count() == cut.count()
+    assert (ranged.select(positions.RANGE).distinct().count() > 10) == cut
+    found = positions.running_total(df, ["g"], "x", "w", "s").toPandas()
+    expected = df.toPandas().sort_values(["g", "x"])
+    expected["s"] = expected.groupby("g")["w"].cumsum() - expected["w"]
+    found = found.sort_values(["g", "x"])[["g", "x", "w", "s"]]
+    assert found.to_numpy().tolist() == expected.to_numpy().tolist()
+
+
+def test_names_with_dots(spark):
+    df = spark.createDataFrame(
+        [(1, 2.0, 5.0, "p.q"), (2, 1.0, 4.0, "r"), (3, 0.5, 9.0, "p.q")], "`a.x` int, b double, c double, k string")
+    rows = {r["variable"]: r for r in explore.describe(df).collect()}
+    assert set(rows) == {"a.x", "b", "c"} and rows["a.x"]["p50"] == 2.0
+    for method in ("pearson", "spearman", "kendall"):
+        found = as_dict(correlate.corr(df, ["a.x", "b"], method))
+        assert found["a.x", "a.x"] == pytest.approx(1.0) and found["a.x", "b"] < -0.9
+    assert correlate.melt(correlate.corr(df, ["a.x", "b"])).where("variable = 'a.x'").count() == 2
+    assert explore.xy_series(df, "a.x", "b").columns == ["a.x", "b"]
+    assert explore.scatter_matrix(df, ["a.x", "b"]).count() == 12
+    wide = explore.describe(explore.pivot(df, "b", "k", "c"))
+    assert {r["variable"]: r["count"] for r in wide.collect()} == {"b": 3, "p.q": 2, "r": 1}
 
 
 # -- forecasts ---------------------------------------------------------------------------

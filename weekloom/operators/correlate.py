@@ -8,7 +8,8 @@ from itertools import combinations, combinations_with_replacement
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weekloom.operators.positions import RANGE, running_total, with_ranges
+from weekloom.operators.positions import running_total
+from weekloom.operators.rollup import quoted
 from weekloom.sources.tables import staged
 
 _PAIR = ["a", "b"]
@@ -33,18 +34,19 @@ def corr(df: DataFrame, columns: Sequence[str], method: str = "pearson") -> Data
 def melt(matrix: DataFrame, index: str = "index") -> DataFrame:
     """Matrix to rows ``index, variable, value``."""
     columns = [c for c in matrix.columns if c != index]
-    return matrix.unpivot(index, columns, "variable", "value")
+    return matrix.unpivot(quoted(index), [quoted(c) for c in columns], "variable", "value")
 
 
 def corr_pairs(df: DataFrame, columns: Sequence[str], method: str = "pearson") -> DataFrame:
     """Columns ``a``, ``b`` and ``value`` for each unordered pair, a column with itself too."""
     if method not in _METHODS:
         raise ValueError(f"method must be one of {sorted(_METHODS)}, got {method!r}")
-    numbers = df.select(
-        *(F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(c)
-          for c in columns)
-    )
-    return _METHODS[method](numbers, list(columns))
+    places = {f"_{i}": c for i, c in enumerate(columns)}
+    doubles = {place: quoted(c).cast("double") for place, c in places.items()}
+    numbers = df.select(*(F.when(~F.isnan(d), d).alias(place) for place, d in doubles.items()))
+    name = F.create_map(*(F.lit(part) for place in places.items() for part in place))
+    found = _METHODS[method](numbers, list(places))
+    return found.select(*(name[F.col(side)].alias(side) for side in _PAIR), "value")
 
 
 def _pearson(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -74,8 +76,8 @@ def _clip(value: Column) -> Column:
     return F.when(value.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), value)))
 
 
-def _points(df: DataFrame, pairs: list[tuple[str, str]]) -> tuple[DataFrame, int]:
-    """Distinct points of each pair of columns with the number of rows on them, and how many.
+def _points(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """Distinct points of each pair of columns with the number of rows on them.
 
     They are read several times, so they are written once.
     """
@@ -93,24 +95,22 @@ def _points(df: DataFrame, pairs: list[tuple[str, str]]) -> tuple[DataFrame, int
         .groupBy(*_PAIR, "x", "y")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    points = staged(points, "points")
-    return points, points.count()
+    return staged(points, "points")
 
 
-def _average_ranks(points: DataFrame, axis: str, at_most: int) -> DataFrame:
+def _average_ranks(points: DataFrame, axis: str) -> DataFrame:
     """Rank of each value of an axis, ties sharing the average of their places."""
     values = points.groupBy(*_PAIR, axis).agg(F.sum("n").alias("_t"))
-    ranged = with_ranges(values, _PAIR, axis, at_most)
-    placed = running_total(ranged, _PAIR, axis, "_t", "_before")
+    placed = running_total(values, _PAIR, axis, "_t", "_before")
     rank = F.col("_before") + (F.col("_t") + 1) / F.lit(2.0)
     return placed.select(*_PAIR, axis, rank.alias(f"r{axis}"))
 
 
 def _spearman(df: DataFrame, columns: list[str]) -> DataFrame:
     """Correlation of average ranks, computed on distinct points with their row counts."""
-    points, size = _points(df, list(combinations_with_replacement(columns, 2)))
-    ranked = points.join(_average_ranks(points, "x", size), [*_PAIR, "x"]).join(
-        _average_ranks(points, "y", size), [*_PAIR, "y"]
+    points = _points(df, list(combinations_with_replacement(columns, 2)))
+    ranked = points.join(_average_ranks(points, "x"), [*_PAIR, "x"]).join(
+        _average_ranks(points, "y"), [*_PAIR, "y"]
     )
     weight = F.col("n").cast("double")
     sums = ranked.groupBy(*_PAIR).agg(
@@ -128,7 +128,7 @@ def _spearman(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def _kendall(df: DataFrame, columns: list[str]) -> DataFrame:
     """Tau-b.  Pairs of rows are counted, never formed; see :func:`_discordant`."""
-    points, size = _points(df, list(combinations(columns, 2)))
+    points = _points(df, list(combinations(columns, 2)))
     ties_x = _tied(points.groupBy(*_PAIR, "x").agg(F.sum("n").alias("n")), "tx")
     ties_y = _tied(points.groupBy(*_PAIR, "y").agg(F.sum("n").alias("n")), "ty")
     both = points.groupBy(*_PAIR).agg(
@@ -137,7 +137,7 @@ def _kendall(df: DataFrame, columns: list[str]) -> DataFrame:
     parts = (
         both.join(F.broadcast(ties_x), _PAIR)
         .join(F.broadcast(ties_y), _PAIR)
-        .join(F.broadcast(_discordant(points, size)), _PAIR, "left")
+        .join(F.broadcast(_discordant(points)), _PAIR, "left")
         .fillna(0, ["dis"])
     )
     num = F.col("all") - F.col("tx") - F.col("ty") + F.col("txy") - F.col("dis") * 2
@@ -171,7 +171,7 @@ def _tied(values: DataFrame, out: str) -> DataFrame:
     return values.groupBy(*_PAIR).agg(F.sum(_couples("n")).alias(out))
 
 
-def _discordant(points: DataFrame, size: int) -> DataFrame:
+def _discordant(points: DataFrame) -> DataFrame:
     """Number of pairs of rows that x and y put in opposite order.
 
     Numbering the y values, two of them first differ at one binary digit.  So for each digit
@@ -180,21 +180,19 @@ def _discordant(points: DataFrame, size: int) -> DataFrame:
     the points, n log n rows in place of n squared, and totals run inside ranges of x.
     """
     values = points.select(*_PAIR, "y").distinct().withColumn("_one", F.lit(1))
-    numbered = running_total(with_ranges(values, _PAIR, "y", size), _PAIR, "y", "_one", "_y")
+    numbered = running_total(values, _PAIR, "y", "_one", "_y")
     digits = points.groupBy(*_PAIR).agg(
         F.length(F.bin(F.count_distinct("y"))).alias("_digits")
     )
-    ranged = with_ranges(points, _PAIR, "x", size)
     spread = (
-        ranged.join(numbered.select(*_PAIR, "y", "_y"), [*_PAIR, "y"])
+        points.join(numbered.select(*_PAIR, "y", "_y"), [*_PAIR, "y"])
         .join(F.broadcast(digits), _PAIR)
         .withColumn("_digit", F.explode(F.sequence(F.lit(0), F.col("_digits") - 1)))
         .withColumn("_higher", F.expr("shiftright(_y, _digit + 1)"))
         .withColumn("_bit", F.expr("shiftright(_y, _digit) & 1"))
     )
     agree = [*_PAIR, "_digit", "_higher"]
-    extra = [RANGE] if RANGE in ranged.columns else []
-    sides = spread.groupBy(*agree, "x", *extra).agg(
+    sides = spread.groupBy(*agree, "x").agg(
         F.sum(F.when(F.col("_bit") == 1, F.col("n")).otherwise(0)).alias("_ones"),
         F.sum(F.when(F.col("_bit") == 0, F.col("n")).otherwise(0)).alias("_zeros"),
     )

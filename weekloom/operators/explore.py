@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from itertools import product
 
 from pyspark.sql import Column, DataFrame
@@ -11,9 +11,8 @@ from pyspark.sql import types as T
 
 from weekloom.functions import measures as m
 from weekloom.functions import text
-from weekloom.operators.positions import running_total, with_ranges
-from weekloom.operators.rollup import require
-from weekloom.sources.tables import staged
+from weekloom.operators.positions import running_total
+from weekloom.operators.rollup import quoted, require
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
@@ -38,40 +37,36 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     Quartiles interpolate linearly between neighbours.
     """
     names = list(columns) if columns is not None else numeric_columns(df)
-    return _describe(df.select(*(F.col(n).cast("double").alias(n) for n in names)), names)
+    return _describe([quoted(n).cast("double") for n in names], names, df)
 
 
 def describe_times(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """As :func:`describe` for dates and timestamps, without a deviation."""
     names = list(columns) if columns is not None else time_columns(df)
     epoch = F.expr(EPOCH)
-    numbers = df.select(
-        *(
-            F.timestamp_diff("MICROSECOND", epoch, F.col(n).cast("timestamp_ntz"))
-            .cast("double")
-            .alias(n)
-            for n in names
-        )
-    )
+    numbers = [
+        F.timestamp_diff("MICROSECOND", epoch, quoted(n).cast("timestamp_ntz")).cast("double")
+        for n in names
+    ]
     back = {
         c: F.timestamp_add("MICROSECOND", F.round(c).cast("bigint"), epoch)
         for c in ("mean", "min", *QUARTILES, "max")
     }
-    return _describe(numbers, names).drop("std").withColumns(back)
+    return _describe(numbers, names, df).drop("std").withColumns(back)
 
 
-def _describe(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    long = df.select(
-        F.explode(F.array(*(F.struct(F.lit(n).alias("v"), F.col(n).alias("x")) for n in names)))
-    ).select(F.col("col.v").alias("variable"), F.col("col.x").alias("_x"))
+def _describe(numbers: Sequence[Column], names: Sequence[str], df: DataFrame) -> DataFrame:
+    """Statistics of the columns ``numbers`` of ``df`` under the given names."""
+    places = {f"_{i}": name for i, name in enumerate(names)}
+    df = df.select(*(number.alias(place) for place, number in zip(places, numbers, strict=True)))
+    pairs = (F.struct(F.lit(n).alias("v"), F.col(p).alias("x")) for p, n in places.items())
+    long = df.select(F.explode(F.array(*pairs))).select(F.col("col.v").alias("variable"), F.col("col.x").alias("_x"))
     counted = long.where(F.col("_x").isNotNull() & ~F.isnan("_x")).groupBy("variable", "_x").agg(
         F.count(F.lit(1)).alias("_n")
     )
-    counted = staged(counted, "values")
-    ranged = with_ranges(counted, ["variable"], "_x", counted.count())
-    places = running_total(ranged, ["variable"], "_x", "_n", "_before")
-    basics = _basics(df, names)
-    joined = places.join(F.broadcast(basics.select("variable", "count")), "variable")
+    placed = running_total(counted, ["variable"], "_x", "_n", "_before")
+    basics = _basics(df, places)
+    joined = placed.join(F.broadcast(basics.select("variable", "count")), "variable")
     picks = []
     for name, q in QUARTILES.items():
         at = (F.col("count") - 1) * F.lit(q)
@@ -87,22 +82,22 @@ def _describe(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return out.select("variable", "count", "mean", "std", "min", *QUARTILES, "max")
 
 
-def _basics(df: DataFrame, names: Sequence[str]) -> DataFrame:
+def _basics(df: DataFrame, places: Mapping[str, str]) -> DataFrame:
     """One pass over all columns, then one row for each of them."""
-    wide = df.select(*(F.when(~F.isnan(n), F.col(n)).alias(n) for n in names)).agg(
+    wide = df.select(*(F.when(~F.isnan(p), F.col(p)).alias(p) for p in places)).agg(
         *(
             F.struct(
                 F.lit(n).alias("variable"),
-                F.count(n).alias("count"),
-                F.avg(n).alias("mean"),
-                F.stddev_samp(n).alias("std"),
-                F.min(n).alias("min"),
-                F.max(n).alias("max"),
-            ).alias(n)
-            for n in names
+                F.count(p).alias("count"),
+                F.avg(p).alias("mean"),
+                F.stddev_samp(p).alias("std"),
+                F.min(p).alias("min"),
+                F.max(p).alias("max"),
+            ).alias(p)
+            for p, n in places.items()
         )
     )
-    return wide.select(F.inline(F.array(*names)))
+    return wide.select(F.inline(F.array(*places)))
 
 
 def pivot(df: DataFrame, row: str, column: str, value: str, how: str = "sum") -> DataFrame:
@@ -135,14 +130,15 @@ def contains(df: DataFrame, column: str, pattern: str) -> DataFrame:
 
 def xy_series(df: DataFrame, x: str, y: str) -> DataFrame:
     """Two columns to plot against each other, with the week where there is one."""
-    return df.select(*dict.fromkeys([*(["Week"] if "Week" in df.columns else []), x, y]))
+    names = dict.fromkeys([*(["Week"] if "Week" in df.columns else []), x, y])
+    return df.select(*map(quoted, names))
 
 
 def scatter_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Every row once for each ordered pair of columns.  Done row by row, without a shuffle."""
     if len(columns) < 2:
         raise ValueError("a scatter matrix needs at least two columns")
-    number: dict[str, Column] = {c: F.col(c).cast("double") for c in columns}
+    number: dict[str, Column] = {c: quoted(c).cast("double") for c in columns}
     pairs = F.array(
         *(
             F.struct(

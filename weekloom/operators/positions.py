@@ -1,52 +1,32 @@
 """Running totals over sorted values without one task holding a whole group.
 
-A window over a group runs in one task, however large the group.  Here a large group is cut
-at quantiles into ranges of values.  Each range is summed up, the sums give every range its
-starting total, and a window then runs inside the ranges only.  The cuts are constants by the
-time the ranges are formed, so a task that runs again forms the same ranges.
+A window over a group runs in one task, however large the group.  Here all rows are shuffled by
+ranges of (group, value) and stored with the number of their range.  Each range is summed up, the
+sums give every range its starting total, and a window then runs inside the ranges only.  The
+numbers are stored by the time they are used, so a task that runs again sees the same ranges.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from weekloom.sources.tables import staged
+
 RANGE = "_range"
-MAX_RANGES = 4096
-ROWS_PER_RANGE = 1_000_000
 
 
-def with_ranges(
-    df: DataFrame,
-    groups: Sequence[str],
-    value: str,
-    at_most: int | None = None,
-) -> DataFrame:
-    """Add the number of the value range of each row; equal values share a range.
+def with_ranges(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
+    """Store ``df`` with the number of the range each row falls in.
 
-    A group with more than ``ROWS_PER_RANGE`` rows is cut.  Counts and quantiles of each group
-    come to the driver, at most ``MAX_RANGES`` numbers per group, so ``groups`` has to name
-    few groups, such as pairs of columns.  Without large groups nothing is cut or added, and
-    nothing is counted where ``at_most``, the caller's bound on all rows, is small.
+    Spark draws the bounds from a sample and equal values share a range, so rows that are
+    unique by group and value spread evenly, whatever the size of a group.  There are as many ranges as
+    shuffle partitions, fewer where adaptive execution unites small ones.
     """
-    if at_most is not None and at_most <= ROWS_PER_RANGE:
-        return df
-    sizes = df.groupBy(*groups).agg(F.count(value).alias("n")).collect()
-    if all(row["n"] <= ROWS_PER_RANGE for row in sizes):
-        return df
-    shares = ", ".join(f"{i / MAX_RANGES}D" for i in range(1, MAX_RANGES))
-    quantiles = F.expr(f"percentile_approx(CAST(`{value}` AS DOUBLE), array({shares}), 20000)")
-    found = df.groupBy(*groups).agg(F.count(value).alias("n"), quantiles.alias("cuts")).collect()
-    cuts = {row[:-2]: _thin(row["cuts"] or [], row["n"]) for row in found}
-    bits = max(len(c) for c in cuts.values()).bit_length()
-    rows = [(*key, c + [float("inf")] * (2**bits - 1 - len(c))) for key, c in cuts.items()]
-    fields = [f"`{g}` {df.schema[g].dataType.simpleString()}" for g in groups]
-    schema = ", ".join([*fields, "_cuts array<double>"])
-    table = df.sparkSession.createDataFrame(rows, schema)
-    wide = df.join(F.broadcast(table), list(groups))
-    return wide.withColumn(RANGE, _search("_cuts", value, bits)).drop("_cuts")
+    ranged = df.repartitionByRange(*groups, value)
+    return staged(ranged.withColumn(RANGE, F.spark_partition_id()), "ranges")
 
 
 def running_total(
@@ -54,40 +34,20 @@ def running_total(
 ) -> DataFrame:
     """Add ``out``: the sum of ``weight`` over the smaller values of the same group.
 
-    Rows have to be unique by group and value.  Ranges are used where there are any.
+    Rows have to be unique by group and value.
     """
-    part = [*groups, RANGE] if RANGE in df.columns else list(groups)
+    ranged = with_ranges(df, groups, value)
+    part = [*groups, RANGE]
     smaller = Window.partitionBy(*part).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     inside = F.coalesce(F.sum(weight).over(smaller), F.lit(0))
-    if RANGE not in df.columns:
-        return df.withColumn(out, inside)
-    sums = df.groupBy(*part).agg(F.sum(weight).alias("_sum"))
+    sums = ranged.groupBy(*part).agg(F.sum(weight).alias("_sum"))
     earlier = Window.partitionBy(*groups).orderBy(RANGE).rowsBetween(
         Window.unboundedPreceding, -1
     )
     starts = sums.select(*part, F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_start"))
     return (
-        df.withColumn("_inside", inside)
+        ranged.withColumn("_inside", inside)
         .join(starts, part)
         .withColumn(out, F.col("_start") + F.col("_inside"))
         .drop("_inside", "_start", RANGE)
     )
-
-
-def _thin(cuts: list[float], rows: int) -> list[float]:
-    """Distinct cuts, no more than the group's size calls for."""
-    wanted = min(MAX_RANGES, -(-rows // ROWS_PER_RANGE))
-    step = max(1, MAX_RANGES // wanted)
-    return sorted(set(cuts[step - 1 :: step]))
-
-
-def _search(cuts: str, value: str, bits: int) -> Column:
-    """How many of the sorted cuts are not above the value, by halving steps."""
-    number = F.col(value).cast("double")
-    steps = F.array(*(F.lit(2**b) for b in reversed(range(bits))))
-    return F.aggregate(
-        steps,
-        F.lit(0),
-        lambda at, step: at
-        + F.when(F.element_at(F.col(cuts), at + step) <= number, step).otherwise(0),
-    )

@@ -4,11 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from weekloom.functions.measures import Difference, Measure, Ratio, aggregate, with_derived
 
 
+def quoted(name: str) -> Column:
+    """The column of exactly this name, dots and backticks included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def require(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows in which none of ``columns`` is NULL."""
     if not columns:

@@ -44,10 +44,12 @@ def promo_uplift(sales: DataFrame, n: int = 10, baseline: str = NO_PROMOTION) ->
     averages = daily_averages(sales).withColumn("_base", F.col("promo_clean") == baseline)
     kept = top_n_per_group(averages, ["Week", "_base"], "total_profit", n, ["promo_clean"])
     week = Window.partitionBy("Week")
-    for name in LIFTS:
-        average = F.col(f"avg_daily_{name}")
-        base = F.max(F.when(F.col("_base"), average)).over(week)
-        kept = kept.withColumn(f"_base_{name}", base)
+    kept = kept.withColumns(
+        {
+            f"_base_{name}": F.max(F.when(F.col("_base"), F.col(f"avg_daily_{name}"))).over(week)
+            for name in LIFTS
+        }
+    )
     lifts = [
         safe_div(F.col(f"avg_daily_{name}") - F.col(f"_base_{name}"), f"_base_{name}", 100, None)
         .alias(f"{name}_lift")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +12,9 @@ from weekloom.sources.schemas import check_columns
 # (table, columns or None for all of them) -> DataFrame
 Source = Callable[[str, "Sequence[str] | None"], DataFrame]
 
+#: Splits from which on an input is never dealt out anew.
+FEW_SPLITS = 16
+
 
 def _pick(table: str, df: DataFrame, columns: Sequence[str] | None) -> DataFrame:
     if columns is None:
@@ -59,13 +61,15 @@ def jdbc_source(
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Share an input of fewer splits than cores among all cores, by the hash of ``keys``.
+    """Share an input of very few splits among all cores, by the hash of ``keys``.
 
-    A larger input keeps its splits.  Hashing sends a row to the same place when a task runs
+    An input of FEW_SPLITS or more keeps its splits, however many cores there are, so what is
+    shuffled here never exceeds that many.  Hashing sends a row to the same place when a task runs
     again and, unlike dealing rows out in turn, needs no sort for that.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+    few = df.rdd.getNumPartitions() < min(cores, FEW_SPLITS)
+    return df.repartition(cores, *keys) if few else df
 
 
 def write_table(df: DataFrame, base: str, name: str) -> str:
@@ -89,18 +93,11 @@ def write_jdbc(df: DataFrame, url: str, name: str, **options: str) -> None:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors reach, taken from ``spark.checkpoint.dir``.
 
-    Only where the session names none, as in local tests, a new temporary folder is set.
+    A session that names none keeps staged data in its warehouse, which its executors share too.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    context = spark.sparkContext
-    if not folder:
-        folder = context.getCheckpointDir()
-    if not folder:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder the whole cluster shares")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="weekloom-"))
-        folder = context.getCheckpointDir()
-    return folder
+    folder = folder or spark.sparkContext.getCheckpointDir()
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged"
 
 
 def fresh_folder(spark: SparkSession, label: str) -> str:

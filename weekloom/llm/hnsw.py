@@ -97,29 +97,37 @@ class Graph:
 
     def descend(self, queries: np.ndarray) -> np.ndarray:
         """The nodes each query enters the lowest layer at: the ENTRIES nearest of those a beam
-        meets in the layers above, which it walks from the top."""
+        meets in the layers above, which it walks from the top.  -1 stands for a place not filled."""
         at = np.broadcast_to(self.layers[-1].members[:1], (len(queries), 1))
         for layer in self.layers[:0:-1]:
-            near = queries @ self.unit[layer.members].T
-            wide = min(ENTRIES, near.shape[1])
-            best = np.argpartition(-near, wide - 1, axis=1)[:, :wide]
-            at = layer.members[best]
+            at, _ = self.walk(layer.links, queries, at, ENTRIES)
         return at
 
     def beam(self, queries: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
         """The ``width`` best nodes each query meets in the lowest layer: numbers and cosines."""
-        n, links = len(self.unit), self.layers[0].links
+        return self.walk(self.layers[0].links, queries, self.descend(queries), width)
+
+    def walk(
+        self, links: np.ndarray, queries: np.ndarray, entry: np.ndarray, width: int
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """The ``width`` best nodes each query meets in one layer from its entries on.
+
+        The links of the best node not yet left are followed until none is fresh.
+        """
+        n = len(self.unit)
         width = min(width, n)
         q = np.arange(len(queries))
-        entry = self.descend(queries)
         nodes = np.full((len(queries), width), -1, np.int64)
         near = np.full((len(queries), width), -np.inf, np.float32)
         fresh = np.zeros((len(queries), width), bool)
-        entries = min(width, entry.shape[1])
-        nodes[:, :entries], fresh[:, :entries] = entry[:, :entries], True
-        near[:, :entries] = np.einsum("qd,qed->qe", queries, self.unit[entry[:, :entries]])
+        entry = entry[:, :width]
+        entries, known = entry.shape[1], entry >= 0
+        nodes[:, :entries], fresh[:, :entries] = entry, known
+        value = np.einsum("qd,qed->qe", queries, self.unit[entry])
+        near[:, :entries] = np.where(known, value, -np.inf)
         seen = np.zeros((len(queries), n), bool)
-        seen[q[:, None], entry[:, :entries]] = True
+        row, col = np.nonzero(known)
+        seen[row, entry[row, col]] = True
         active = q
         while len(active):
             order = np.where(fresh[active], near[active], -np.inf)

@@ -27,6 +27,8 @@ UNITS = re.compile("▁+[^▁\n]*|[^▁\n]+|\n+")
 #: Units of more characters are merged one by one with a heap, all others together.
 LONG_UNIT = 64
 BLOCK_BYTES = 1 << 22
+#: The lowest and the highest bit of each of eight bytes.
+_ONES, _TOPS = np.uint64(0x0101010101010101), np.uint64(0x8080808080808080)
 
 
 @dataclass(frozen=True)
@@ -79,23 +81,29 @@ def load_vocabulary(path: str) -> Vocabulary:
 
 
 def sort_suffixes(data: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarray:
-    """``starts`` in the order of the ``depth`` bytes there, by doubling the compared width.
+    """``starts`` in the order of the ``depth`` bytes there, eight at a time.
 
-    ``data`` must end in ``depth`` + 8 zero bytes.
+    Only suffixes still equal and without a zero byte so far are compared further: units are
+    closed by zeros, which no piece reaches beyond.  ``data`` must end in ``depth`` + 8 zero bytes.
     """
     wide = data.astype(np.uint64)
     key = wide[: len(data) - 7].copy()
     for i in range(1, 8):
         key = (key << np.uint64(8)) | wide[i : len(data) - 7 + i]
-    width = 8
-    ranks = np.unique(key, return_inverse=True)[1].astype(np.uint64)
-    while width < depth:
-        bits = np.uint64(max(1, int(ranks.max(initial=0)).bit_length()))
-        after = np.zeros_like(ranks)
-        after[: max(0, len(ranks) - width)] = ranks[width:]
-        ranks = np.unique((ranks << bits) | after, return_inverse=True)[1].astype(np.uint64)
-        width *= 2
-    return starts[np.argsort(ranks[starts], kind="stable")]
+    order = starts.copy()
+    live, group = np.arange(len(order)), np.zeros(len(order), np.int64)
+    for width in range(0, depth, 8):
+        if not len(live):
+            break
+        value = key[order[live] + width]
+        by = np.lexsort((value, group)) if width else np.argsort(value)
+        order[live], value = order[live[by]], value[by]
+        fresh = np.concatenate(([True], (group[1:] != group[:-1]) | (value[1:] != value[:-1])))
+        group = np.cumsum(fresh) - 1
+        closed = (value - _ONES) & ~value & _TOPS != 0  # some byte is zero
+        tied = (np.bincount(group)[group] > 1) & ~closed
+        live, group = live[tied], group[tied]
+    return order
 
 
 def _compare(data, suffixes, pieces, starts, lengths) -> np.ndarray:
@@ -152,8 +160,9 @@ def find_edges(data: np.ndarray, char_starts: np.ndarray, vocab: Vocabulary) ->
     where, _ = ragged(low, high - low)
     ids = np.repeat(vocab.normal, high - low)
     keys = order[where] * (depth + 1) + vocab.lengths[ids]
-    by_place = np.argsort(keys)
-    return Edges(keys[by_place], ids[by_place], depth + 1)
+    bits = len(vocab.rank).bit_length()  # a key and its id sort as one number
+    packed = np.sort((keys << bits) | ids)
+    return Edges(packed >> bits, packed & ((1 << bits) - 1), depth + 1)
 
 
 def relax(starts: np.ndarray, lengths: np.ndarray, unit: np.ndarray, edges: Edges, vocab: Vocabulary):
@@ -269,10 +278,10 @@ def encode_batch(texts: list[str], vocab: Vocabulary) -> tuple[np.ndarray, np.nd
             units += found
     if not units:
         return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
-    table: dict[str, int] = {}
-    codes = np.array([table.setdefault(u, len(table)) for u in units])
+    table = pa.array(units, pa.large_string()).dictionary_encode()
     del units
-    ids, bounds = encode_units(list(table), vocab)
+    codes = table.indices.to_numpy()
+    ids, bounds = encode_units(table.dictionary.to_pylist(), vocab)
     sizes = np.diff(bounds)[codes]
     where, _ = ragged(bounds[:-1][codes], sizes)
     ends = np.concatenate(([0], np.cumsum(sizes)))

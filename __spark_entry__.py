@@ -362,9 +362,7 @@ def queries() -> dict[str, Query]:
         found[name] = _on(table, lambda d, columns=columns: report.weekly_trend(d, *columns))
 
     # exploration
-    found["describe_numeric"] = _raw(
-        "lineitem", lambda d: _round(explore.describe(d, oracle.MEASURED), 4)
-    )
+    found["describe_numeric"] = _raw("lineitem", lambda d: _round(explore.describe(d), 4))
     found["describe_weekly"] = _on(OVERALL, lambda d: explore.describe(d, oracle.CORR), 4)
     found["describe_week"] = _on(OVERALL, explore.describe_times)
     for method in ("pearson", "spearman", "kendall"):

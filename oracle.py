@@ -496,7 +496,10 @@ OUTPUTS = [
 CATEGORIES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 PROMOTIONS = (*(f"Brand#{i}" for i in range(1, 26)), "None")
 CORR = ("Total_Revenue", "Total_Profit", "Order_Count", "Total_Shipping", "Total_Discount")
-MEASURED = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+MEASURED = (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+    "l_discount", "l_tax",
+)
 
 
 def rsum(digits: int, *columns: str) -> str:

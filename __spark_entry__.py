@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from dataclasses import dataclass, replace
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +23,7 @@ from weekloom.operators.rank import keep_top_k  # noqa: E402
 from weekloom.operators.rollup import rollup  # noqa: E402
 from weekloom.plans import prepare  # noqa: E402
 from weekloom.plans.batch import run_batch  # noqa: E402
-from weekloom.plans.tables import OUTPUTS, TABLES, Tables  # noqa: E402
+from weekloom.plans.tables import OUTPUTS, TABLES, Range, Tables  # noqa: E402
 from weekloom.sources.retail import retail_source  # noqa: E402
 from weekloom.sources.schemas import SCHEMAS  # noqa: E402
 from weekloom.sources.tables import fresh_folder, staged, write_table  # noqa: E402
@@ -58,24 +59,34 @@ def _plain(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("double") for c in decimals}) if decimals else df
 
 
-def _on(table: str, step: Callable[[DataFrame], DataFrame], digits: int | None = None) -> Query:
+@dataclass(frozen=True)
+class Report:
+    """A query over weekly tables: all of their weeks, or those that ``cut`` leaves."""
+
+    step: Callable[[Tables | Range], DataFrame]
+    digits: int | None = None
+    cut: Callable[[Tables], Range] | None = None
+
+    def __call__(self, spark: SparkSession, sf_dir: str) -> DataFrame:
+        tables = Tables(retail_source(spark, sf_dir))
+        out = self.step(self.cut(tables) if self.cut else tables)
+        return out if self.digits is None else _round(out, self.digits)
+
+
+def _on(table: str, step: Callable[[DataFrame], DataFrame], digits: int | None = None) -> Report:
     """A query that applies ``step`` to a weekly table."""
+    return Report(lambda tables: step(tables[table]), digits)
 
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        out = step(Tables(retail_source(spark, sf_dir))[table])
-        return out if digits is None else _round(out, digits)
 
-    return run
+_with = Report  # a query over several weekly tables
 
 
-def _with(step: Callable[[Tables], DataFrame], digits: int | None = None) -> Query:
-    """A query over several weekly tables."""
+def _recent(tables: Tables) -> Range:
+    return Range(tables, lambda d: wk.preset_range(d, tables[OVERALL], "Last 90 Days"))
 
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        out = step(Tables(retail_source(spark, sf_dir)))
-        return out if digits is None else _round(out, digits)
 
-    return run
+def _no_weeks(tables: Tables) -> Range:
+    return Range(tables, lambda d: wk.filter_weeks(d, "1900-01-01", "1900-12-31"))
 
 
 def _source(step: Callable[[Callable], DataFrame]) -> Query:
@@ -139,8 +150,7 @@ def _monday_sessions(source: Callable) -> DataFrame:
 
 
 def _corr(method: str) -> Query:
-    columns = oracle.CORR
-    return _on("website_weekly_overall", lambda d: correlate.corr(d, columns, method), 6)
+    return _on(OVERALL, lambda d: correlate.corr(d, MEASURED, method), 6)
 
 
 def _pivot(how: str, row: str = "campaign", digits: int | None = None) -> Query:
@@ -158,6 +168,21 @@ def _week_column(name: str, **options) -> Query:
 
 
 OVERALL = "website_weekly_overall"
+#: Columns compared with each other, the first numeric ones of the table.
+MEASURED = ("Total_Revenue", "Total_Profit", "Order_Count", "Total_Shipping", "Total_Discount")
+CARDS = (
+    "kpi_website", "kpi_website_weighted", "kpi_facebook", "kpi_ga", "kpi_google_ads", "kpi_bing",
+    "kpi_affiliate", "profit_by_platform",
+)
+#: Reports that are registered for the last 90 days too.  Sessions and social ads end years after
+#: the orders do, so only their cards are: they show the zeros of a range without data.
+RANGED = (
+    *CARDS, "affiliate_share", "top10_campaigns_by_revenue", "overall_top_campaigns",
+    "websource_top10_trend", "pricing_top10_trend", "promo_global_top10", "promo_uplift_top10",
+    "best_strategy_combo", "authors_top10", "author_list", "author_report", "author_trend",
+    "bing_top10_period", "affiliate_daily", "affiliate_top10_period", "weekly_trend",
+    "weekly_trend_google_ads", "weekly_trend_bing",
+)
 ROI_DIGITS = {
     "fb_weekly_campaigns": "ROI",
     "facebook_ads_top10_campaigns": "ROI",
@@ -363,12 +388,12 @@ def queries() -> dict[str, Query]:
 
     # exploration
     found["describe_numeric"] = _raw("lineitem", lambda d: _round(explore.describe(d), 4))
-    found["describe_weekly"] = _on(OVERALL, lambda d: explore.describe(d, oracle.CORR), 4)
+    found["describe_weekly"] = _on(OVERALL, explore.describe, 4)
     found["describe_week"] = _on(OVERALL, explore.describe_times)
     for method in ("pearson", "spearman", "kendall"):
         found[f"corr_{method}"] = _corr(method)
     found["corr_long"] = _on(
-        OVERALL, lambda d: correlate.melt(correlate.corr(d, oracle.CORR)), 6
+        OVERALL, lambda d: correlate.melt(correlate.corr(d, MEASURED)), 6
     )
     found["pivot_sum"] = _pivot("sum", digits=4)
     found["pivot_mean"] = _pivot("mean", digits=4)
@@ -381,11 +406,19 @@ def queries() -> dict[str, Query]:
         "website_campaign_segmentation_analysis",
         lambda d: explore.contains(staged(d, "segments"), "cleaned_websource", "goo|FACE"),
     )
+    found["pivot_contains"] = _on(
+        "website_campaign_segmentation_analysis",
+        lambda d: explore.pivot(
+            explore.contains(staged(d, "segments"), "cleaned_websource", "goo|FACE"),
+            "campaign", "category", "Total_Revenue",
+        ),
+        4,
+    )
     found["xy_series"] = _on(
         OVERALL, lambda d: explore.xy_series(d, "Order_Count", "Total_Revenue")
     )
     found["scatter_matrix_pairs"] = _on(
-        OVERALL, lambda d: explore.scatter_matrix(d, oracle.CORR[:4])
+        OVERALL, lambda d: explore.scatter_matrix(d, MEASURED[:4])
     )
     found["forecast_trend"] = _on(
         OVERALL, lambda d: forecast.forecast_trend(d, "Total_Profit", 30), 2
@@ -399,6 +432,11 @@ def queries() -> dict[str, Query]:
             d, "Total_Profit", 30, series=["majorcategory"], components=True
         ),
     )
+    # reports over a range of weeks
+    for name in RANGED:
+        found[f"{name}_last_90_days"] = replace(found[name], cut=_recent)
+    for name in CARDS:
+        found[f"{name}_no_weeks"] = replace(found[name], cut=_no_weeks)
     if llm:
         found |= llm.QUERIES
         found["pipeline"] = corpus_pipeline.run

@@ -496,6 +496,11 @@ OUTPUTS = [
 CATEGORIES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 PROMOTIONS = (*(f"Brand#{i}" for i in range(1, 26)), "None")
 CORR = ("Total_Revenue", "Total_Profit", "Order_Count", "Total_Shipping", "Total_Discount")
+WEEKLY_NUMBERS = (
+    *CORR, "Gross_Order_Value", "Total_Books", "Returning_Count", "AOV", "Profit_Margin",
+    "Profit_Per_Order", "Average_Discount_Percentage", "Average_Discount_Amount",
+    "Gross_vs_Net_Difference", "Returning_Ratio", "Average_Order_Size", "Average_Shipping_Cost",
+)
 MEASURED = (
     "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
     "l_discount", "l_tax",
@@ -522,7 +527,7 @@ def top(view: str, key: str, sums: str, by: str) -> str:
 ORDER BY SUM({by}) DESC NULLS LAST, {key} LIMIT 10"""
 
 
-def pivoted(how: str, row: str, rounding: str = "{}") -> str:
+def pivoted(how: str, row: str, rounding: str = "{}", where: str = "TRUE") -> str:
     cells = cards(
         *(
             rounding.format(f"{how}(CASE WHEN category = '{c}' THEN Total_Revenue END)")
@@ -530,7 +535,7 @@ def pivoted(how: str, row: str, rounding: str = "{}") -> str:
             for c in CATEGORIES
         )
     )
-    return f"SELECT {row}, {cells} FROM website_campaign_segmentation_analysis GROUP BY {row}"
+    return f"SELECT {row}, {cells} FROM website_campaign_segmentation_analysis WHERE {where} GROUP BY {row}"
 
 
 def described(view: str, columns: tuple[str, ...], digits: int) -> str:
@@ -544,7 +549,8 @@ def described(view: str, columns: tuple[str, ...], digits: int) -> str:
         )
         parts.append(f"""SELECT '{c}' AS variable, COUNT({c}) AS "count",
   ROUND(AVG({c}), {digits}) AS mean, ROUND(stddev_samp({c}), {digits}) AS std,
-  CAST(MIN({c}) AS DOUBLE) AS min, {quartiles}, CAST(MAX({c}) AS DOUBLE) AS max FROM {view}""")
+  ROUND(CAST(MIN({c}) AS DOUBLE), {digits}) AS min, {quartiles},
+  ROUND(CAST(MAX({c}) AS DOUBLE), {digits}) AS max FROM {view}""")
     return "\nUNION ALL\n".join(parts)
 
 
@@ -805,7 +811,7 @@ FROM facebook_ads_weekly_campaign ORDER BY "Week\"""",
 FROM bing_ads_weekly_overall ORDER BY "Week\"""",
     # exploration
     "describe_numeric": described("lineitem", MEASURED, 4),
-    "describe_weekly": described("website_weekly_overall", CORR, 4),
+    "describe_weekly": described("website_weekly_overall", WEEKLY_NUMBERS, 4),
     "describe_week": """SELECT 'Week' AS variable, COUNT("Week") AS "count",
   make_timestamp(CAST(ROUND(AVG(us)) AS BIGINT)) AS mean,
   make_timestamp(CAST(MIN(us) AS BIGINT)) AS min,
@@ -831,6 +837,9 @@ FROM (SELECT "Week", CAST(epoch_us(CAST("Week" AS TIMESTAMP)) AS DOUBLE) AS us
     "pivot_same_axis": pivoted("SUM", "category", "ROUND({}, 4)"),
     "filter_contains": """SELECT * FROM website_campaign_segmentation_analysis
 WHERE regexp_matches(cleaned_websource, 'goo|FACE', 'i')""",
+    "pivot_contains": pivoted(
+        "SUM", "campaign", "ROUND({}, 4)", "regexp_matches(cleaned_websource, 'goo|FACE', 'i')"
+    ),
     "xy_series":
         'SELECT "Week", Order_Count, Total_Revenue FROM website_weekly_overall',
     "scatter_matrix_pairs": "\nUNION ALL\n".join(
@@ -854,6 +863,40 @@ FROM (SELECT grid.ds, s, my + b * (epoch(CAST(grid.ds AS TIMESTAMP)) / 86400 - m
 }
 
 
+# -- reports over a range of weeks ---------------------------------------------------------
+
+for _table in (*WEEKLY, "pricing_weeks"):
+    VIEWS[f"{_table}_recent"] = since(_table, 90)
+    VIEWS[f"{_table}_none"] = f"""SELECT * FROM {_table} WHERE "Week" < DATE '1901-01-01'"""
+
+
+def cut(name: str, suffix: str) -> str:
+    """A statement over the tables of a range; cards over no rows show 0, averages NULL."""
+    body = re.sub(
+        r"\b(FROM|JOIN) (\w+)",
+        lambda m: f"{m[0]}{suffix}" if f"{m[2]}{suffix}" in VIEWS else m[0],
+        STATEMENTS[name],
+    )
+    if name == "kpi_affiliate":
+        averages = "avg_commission, avg_sales, avg_net"
+        return f"SELECT coalesce(COLUMNS(* EXCLUDE ({averages})), 0), {averages} FROM ({body})"
+    return f"SELECT coalesce(COLUMNS(*), 0) FROM ({body})" if name.startswith("kpi_") else body
+
+
+CARDS = (
+    "kpi_website kpi_website_weighted kpi_facebook kpi_ga kpi_google_ads kpi_bing kpi_affiliate "
+    "profit_by_platform"
+).split()
+REPORTS = CARDS + (
+    "affiliate_share top10_campaigns_by_revenue overall_top_campaigns websource_top10_trend "
+    "pricing_top10_trend promo_global_top10 promo_uplift_top10 "
+    "best_strategy_combo authors_top10 author_list author_report author_trend bing_top10_period "
+    "affiliate_daily affiliate_top10_period weekly_trend weekly_trend_google_ads weekly_trend_bing"
+).split()
+STATEMENTS |= {f"{name}_last_90_days": cut(name, "_recent") for name in REPORTS}
+STATEMENTS |= {f"{name}_no_weeks": cut(name, "_none") for name in CARDS}
+
+
 def statement(name: str) -> str:
     """The SQL of a query, with the views it uses as common table expressions."""
     return _with_views(STATEMENTS[name])

@@ -11,7 +11,9 @@ from weekloom.operators import weeks as wk
 from weekloom.operators.rank import keep_top_k, top_n_per_group
 from weekloom.operators.rollup import rollup
 from weekloom.plans import prepare
-from weekloom.sources.schemas import SCHEMAS, check_columns, nan_to_null, schema_of
+from weekloom.plans.tables import Range, Tables
+from weekloom.sources.schemas import SCHEMAS, check_columns, exact_numbers, schema_of
+from weekloom.sources.tables import parquet_source
 
 W1, W2, W3 = dt.date(2021, 5, 17), dt.date(2021, 5, 24), dt.date(2021, 5, 31)
 
@@ -51,7 +53,37 @@ def test_ratios_of_zero_and_negative_denominators(spark):
 
 def test_nan_counts_as_missing(spark):
     df = spark.createDataFrame([(float("nan"), 1), (2.0, 2)], "v double, i int")
-    assert rows(rollup(nan_to_null(df), [], {"s": m.total("v"), "a": m.mean("v")})) == [(2.0, 2.0)]
+    assert rows(rollup(exact_numbers(df), [], {"s": m.total("v"), "a": m.mean("v")})) == [(2.0, 2.0)]
+
+
+def test_what_no_exact_number_can_hold_counts_as_missing(spark):
+    df = spark.createDataFrame([(float("inf"),), (1e30,), (0.25,)], "v double")
+    assert rows(rollup(exact_numbers(df), [], {"s": m.total("v")})) == [(0.25,)]
+
+
+def test_sums_of_doubles_do_not_depend_on_the_order_of_rows(spark, tmp_path):
+    """Two parquet copies of a source with DOUBLE money, one the other way round."""
+    amounts = [1e15, 0.1, 0.2, -1e15, 0.7] * 20
+    found = []
+    for label, order in (("up", amounts), ("down", amounts[::-1])):
+        data = [("2024-01-03", i, v) for i, v in enumerate(order)]
+        schema = "eventdate string, marketordernumber long, saleamountusd double"
+        spark.createDataFrame(data, schema).coalesce(1).write.parquet(f"{tmp_path}/{label}/affiliate_sales")
+        sales = prepare.affiliate_sales(parquet_source(spark, f"{tmp_path}/{label}"), ["saleamountusd"])
+        found.append(rows(rollup(sales, ["Week"], {"s": m.total("saleamountusd")})))
+    assert found[0] == found[1] == [(dt.date(2024, 1, 1), 20.0)]
+
+
+def test_range_cuts_every_table_with_a_week(spark):
+    """Labels are read as weeks; bounds are included."""
+    written = {
+        "website_weekly_overall": spark.sql("SELECT DATE '2024-01-01' AS Week, 1 AS n UNION ALL SELECT DATE '2024-01-08', 2"),
+        "website_pricing_strategy_analysis": spark.sql(
+            "SELECT '2024-01-01/2024-01-07' AS Week, 1 AS n UNION ALL SELECT '2024-01-08/2024-01-14', 2"),
+    }
+    cut = Range(Tables(None, written=written), lambda d: wk.filter_weeks(d, "2024-01-08", "2024-01-31"))
+    for name in written:
+        assert [r["n"] for r in cut[name].collect()] == [2]
 
 
 def test_rollup_does_not_depend_on_partitions(spark):

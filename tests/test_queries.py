@@ -29,7 +29,7 @@ def test_entry(spark):
 
 
 def test_every_line_has_its_order_part_customer_and_nation(con):
-    """What leaving out unused joins relies on."""
+    """What the SQL's inner joins rely on."""
     found = con.execute(
         """SELECT count(*), count(o_orderkey), count(p_partkey), count(c_custkey),
         count(n_nationkey) FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey

@@ -14,6 +14,7 @@ from weekloom.functions.text import NO_PROMOTION
 from weekloom.operators import uplift
 from weekloom.operators.rank import top_n_per_group
 from weekloom.operators.rollup import rollup
+from weekloom.operators.weeks import normalise_week
 from weekloom.plans.prepare import PREPARED
 from weekloom.sources.tables import Source
 
@@ -328,3 +329,19 @@ class Tables:
         if name in self._written:
             return self._written[name]
         return TABLES[name].build(self)
+
+
+class Range:
+    """Weekly tables cut by ``keep``, the way every report over a range of weeks reads them.
+
+    Tables that store their week as a label come with a timestamp, as a range needs one.
+    """
+
+    def __init__(self, tables: Tables, keep: Callable[[DataFrame], DataFrame]) -> None:
+        self._tables = tables
+        self._keep = keep
+
+    def __getitem__(self, name: str) -> DataFrame:
+        rows = self._tables[name]
+        labelled = getattr(TABLES.get(name), "label_week", False)
+        return self._keep(normalise_week(rows) if labelled else rows)

@@ -1,9 +1,9 @@
 """The seven source tables derived from a retail star schema.
 
 Money is DECIMAL with enough digits that no value is rounded, so sums are exact whatever the
-order of the rows.  ``website_sales`` joins only the tables whose columns are asked for: every
-order line has exactly one order, part, customer and nation, so an unused join neither adds
-nor drops rows, and leaving it out spares a shuffle of the largest table.
+order of the rows.  ``website_sales`` joins only the tables whose columns are asked for, each
+with the order lines on the left: keys of the other tables are unique, so no join adds or drops
+a line, and leaving an unused one out spares a shuffle of the largest table.
 """
 
 from __future__ import annotations
@@ -12,22 +12,30 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from weekloom.sources.tables import Source, spread
 
-# Schemas of files already seen, as finding one takes a job.
-_SCHEMAS: dict[str, T.StructType] = {}
+# Given with each read: finding a schema takes a job, and one kept could be out of date.
+RAW = {
+    "lineitem": """l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT,
+        l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE,
+        l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ""",
+    "orders": """o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE,
+        o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING""",
+    "customer": "c_custkey BIGINT, c_nationkey INT",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "part": """p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING,
+        p_retailprice DOUBLE""",
+    "events": """event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING,
+        value DOUBLE""",
+}
 
 
 def retail_source(spark: SparkSession, sf_dir: str) -> Source:
     """Source tables computed from the parquet files in ``sf_dir``."""
 
     def table(name: str) -> DataFrame:
-        path = f"{sf_dir}/{name}.parquet"
-        if path not in _SCHEMAS:
-            _SCHEMAS[path] = spark.read.parquet(path).schema
-        return spark.read.schema(_SCHEMAS[path]).parquet(path)
+        return spark.read.schema(RAW[name]).parquet(f"{sf_dir}/{name}.parquet")
 
     def read(name: str, columns: Sequence[str] | None = None) -> DataFrame:
         if name == "website_sales":
@@ -103,13 +111,14 @@ def _website_sales(
     tables = {t for name in names for t in WEBSITE_SALES[name][1]}
     rows = spread(table("lineitem"), "l_orderkey", "l_linenumber")
     if "part" in tables:
-        rows = rows.join(table("part"), F.expr("l_partkey = p_partkey"))
+        rows = rows.join(table("part"), F.expr("l_partkey = p_partkey"), "left")
     if "orders" in tables:
         orders = table("orders")
         if "customer" in tables:
-            homes = table("customer").join(table("nation"), F.expr("c_nationkey = n_nationkey"))
-            orders = orders.join(homes, F.expr("o_custkey = c_custkey"))
-        rows = rows.join(orders, F.expr("l_orderkey = o_orderkey"))
+            homes = F.expr("c_nationkey = n_nationkey")
+            homes = table("customer").join(table("nation"), homes, "left")
+            orders = orders.join(homes, F.expr("o_custkey = c_custkey"), "left")
+        rows = rows.join(orders, F.expr("l_orderkey = o_orderkey"), "left")
     return rows.selectExpr(*(f"{WEBSITE_SALES[name][0]} AS {name}" for name in names))
 
 

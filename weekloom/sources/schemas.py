@@ -29,6 +29,9 @@ SCHEMAS: dict[str, str] = {
         orderdiscountusd DOUBLE, correctedamountusd DOUBLE""",
 }
 
+#: The type money and rates are summed in where a source has them as floating-point numbers.
+EXACT = "decimal(30,12)"
+
 
 def schema_of(table: str) -> T.StructType:
     return T.StructType.fromDDL(SCHEMAS[table])
@@ -41,10 +44,11 @@ def check_columns(table: str, df: DataFrame, needed: list[str]) -> None:
         raise ValueError(f"{table} lacks the columns {missing}")
 
 
-def nan_to_null(df: DataFrame) -> DataFrame:
-    """Not-a-number values as NULL, so that sums and averages skip them."""
-    floats = [f.name for f in df.schema.fields if isinstance(f.dataType, T.FractionalType)]
-    floats = [n for n in floats if not isinstance(df.schema[n].dataType, T.DecimalType)]
-    if not floats:
-        return df
-    return df.withColumns({n: F.when(~F.isnan(n), F.col(n)) for n in floats})
+def exact_numbers(df: DataFrame) -> DataFrame:
+    """Floating-point columns as EXACT, so that sums do not depend on the order of the rows.
+
+    Digits after the twelfth behind the point are rounded.  What is not a finite number of at
+    most 18 digits before the point becomes NULL, which sums and averages skip.
+    """
+    floats = [f.name for f in df.schema.fields if isinstance(f.dataType, T.FloatType | T.DoubleType)]
+    return df.withColumns({n: F.col(n).try_cast(EXACT) for n in floats}) if floats else df

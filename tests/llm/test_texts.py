@@ -186,6 +186,31 @@ def test_removed_bytes_equal_brute_force(spark, docs, monkeypatch):
         assert (bytes(r["kept"]), r["n_bytes"], r["n_removed"], r["n_spans"]) == (kept, len(mark), mark.sum(), runs)
 
 
+def test_a_passage_of_many_surroundings_meets_in_bounded_arrays(spark, docs, monkeypatch, tmp_path):
+    rng = random.Random(16)
+    passage, line = noise(rng, 80), noise(rng, 130)
+    rows = [(i, noise(rng, rng.randint(0, 90)) + passage + noise(rng, rng.randint(0, 90))) for i in range(300)]
+    rows += [(1000 + i, noise(rng, 80) + line + rng.choice(["", "ab", noise(rng, 40)])) for i in range(200)]
+    rows += [(2000 + i, t[: len(t) - i % 9]) for i, (_, t) in enumerate(rows[::3])]
+    rows += [(3000, "x" * 700 + line[:20]), (3001, line * 3)]
+    true = repeats._surrounding_batches
+
+    def watched(batches, length):
+        batches = list(batches)
+        keys = [k for b in batches for k in b.column("key").to_pylist()]
+        most = max(map(keys.count, set(keys)), default=0)
+        with open(tmp_path / "most", "a") as out:
+            out.write(f"{most}\n")
+        yield from true(iter(batches), length)
+
+    monkeypatch.setattr(repeats, "CHUNK_ROWS", 50)
+    monkeypatch.setattr(repeats, "_surrounding_batches", watched)
+    found = {r["doc_id"]: r for r in repeats.remove_repeats(docs(rows).repartition(5)).collect()}
+    for doc, (kept, mark) in plain_removal([(i, t.encode()) for i, t in rows]).items():
+        assert (bytes(found[doc]["kept"]), found[doc]["n_removed"]) == (kept, mark.sum())
+    assert 1 < max(map(int, (tmp_path / "most").read_text().split())) <= 50
+
+
 def test_removal_of_odd_rows(spark, docs):
     found = repeats.remove_repeats(docs(ODD, spans="clash", row="clash")).collect()
     plain = plain_removal([(i, (t or "").encode()) for i, t in ODD if i and (i, t) != (4, "a")] + [(4, b"a")])

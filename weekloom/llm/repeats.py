@@ -4,7 +4,8 @@ Every string of ``length`` bytes picks an anchor, the gram of GRAM bytes in it w
 hash, so equal strings pick equal anchors at equal places.  Anchors with equal grams are brought
 together by a shuffle.  Where the surroundings of two anchors are equal as far as any string
 around them reaches, the later is repeated as a whole.  The different surroundings of one gram
-are compared by a suffix array, its common-prefix intervals found by a stack.
+are compared by a suffix array, its common-prefix intervals found by a stack.  Where they are
+too many for one array, their strings of ``length`` bytes are grouped instead.
 """
 
 from __future__ import annotations
@@ -24,7 +25,8 @@ from weekloom.llm.texts import blocks, mix, ragged, span_hashes
 
 #: Bytes of a string that counts as repeated, and of the grams that anchor it.
 LENGTH, GRAM = 100, 40
-#: Surroundings handled in one suffix array; those of one key stay together.
+#: Surroundings handled in one suffix array; those of one key stay together.  A key of more has its
+#: strings grouped.
 CHUNK_ROWS = 8_000
 BLOCK_BYTES = 1 << 20
 #: A place is packed in a long: first byte, bytes before the gram (8 bits), bytes in all (24).
@@ -320,26 +322,75 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         ),
     )
     around = texts.join(wanted, "doc").select("doc", F.explode(cut).alias("c")).select("doc", "c.*")
+    around = stored(around, "surroundings")
     # Two equal strings share the gram and at least half of the spare bytes on one of its sides.
     half = (length - GRAM + 1) // 2
     key_left = F.substring(F.col("content"), F.col("left") - half + 1, F.lit(GRAM + half))
     key_right = F.substring(F.col("content"), F.col("left") + 1, F.lit(GRAM + half))
     sides = F.array(
-        F.when(F.col("left") >= half, F.xxhash64(F.lit("left"), "gram", key_left)),
+        F.when(
+            F.col("left") >= half,
+            F.struct(
+                F.xxhash64(F.lit("left"), "gram", key_left).alias("key"),
+                (F.col("left") - half).alias("begin"),
+            ),
+        ),
         F.when(
             F.length("content") - F.col("left") - GRAM >= half,
-            F.xxhash64(F.lit("right"), "gram", key_right),
+            F.struct(
+                F.xxhash64(F.lit("right"), "gram", key_right).alias("key"),
+                F.col("left").alias("begin"),
+            ),
         ),
     )
-    keyed = around.select(F.explode(sides).alias("key"), "doc", "start", "content").where("key IS NOT NULL")
+    sided = around.select(F.explode(sides).alias("side"), "doc", "start", "content")
+    keyed = sided.where("side IS NOT NULL").select("side.*", "doc", "start", "content")
+    sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("rows"))
+    large = stored(sizes.where(F.col("rows") > CHUNK_ROWS).select("key"), "large")
+    small = keyed.drop("begin")
+    if large.limit(1).count():
+        small = small.join(large, "key", "left_anti")
+        certain = certain.union(
+            stored(shared_strings(keyed.join(large, "key", "left_semi"), length, GRAM + half), "strings")
+        )
     shared = F.count(F.lit(1)).over(Window.partitionBy("key"))
-    grouped = keyed.withColumn("n", shared).where("n > 1").drop("n").sortWithinPartitions("key")
+    grouped = small.withColumn("n", shared).where("n > 1").drop("n").sortWithinPartitions("key")
     found = grouped.mapInArrow(
         lambda b: _surrounding_batches(b, length), "doc long, start long, size long"
     )
     return certain.union(stored(found, "repeats"))
 
 
+def shared_strings(keyed: DataFrame, length: int, held: int) -> DataFrame:
+    """Repeats within keys of any number of rows, as :func:`repeated_spans` gives them.
+
+    Rows have ``key``, ``doc``, ``start``, ``content``, and ``begin``, the place in ``content`` of the
+    ``held`` bytes equal in all rows of the key.  Every string of ``length`` bytes around these is a
+    row of its own, known by a hash of 128 bits; the least origin of each comes from sums made before
+    the shuffle, and all others are repeats.  Those of one row overlap, so they make one span.
+    """
+    first = F.greatest(F.lit(0), F.col("begin") + F.lit(held - length))
+    last = F.least(F.col("begin"), F.length("content") - F.lit(length))
+    places = keyed.where(first <= last).withColumn("skip", F.explode(F.sequence(first, last)))
+    string = F.substring(F.col("content"), F.col("skip") + 1, F.lit(length))
+    strings = places.select(
+        "key",
+        "doc",
+        "start",
+        (F.col("start") + F.col("skip")).alias("at"),
+        F.xxhash64(string).alias("h"),
+        F.xxhash64(F.lit("again"), string).alias("g"),
+    )
+    origin = F.struct("doc", "at")
+    least = strings.groupBy("h", "g").agg(F.min(origin).alias("least"), F.max(origin).alias("most"))
+    least = stored(least.where("least < most").select("h", "g", "least"), "least")
+    later = strings.join(least, ["h", "g"]).where(origin > F.col("least"))
+    spans = later.groupBy("key", "doc", "start").agg(F.min("at").alias("low"), F.max("at").alias("high"))
+    return spans.select(
+        "doc", F.col("low").alias("start"), (F.col("high") - F.col("low") + length).alias("size")
+    )
+
+
 def remove_repeats(docs: DataFrame, length: int = LENGTH, carried: Sequence[str] = ()) -> DataFrame:
     """Documents without the bytes of repeated strings: ``doc_id``, ``n_bytes``, ``n_removed``,
     ``n_spans``, ``kept``, the remaining bytes, and ``row``, a struct of the ``carried`` columns.

@@ -158,6 +158,43 @@ def test_beams_widen_for_a_large_group(spark):
     assert {(r["n_links"], r["component_id"]) for r in found} == {(299, 0)}
 
 
+def test_links_across_shards_equal_brute_force(spark):
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(100, 64))  # a cluster has about 40 rows in each of three shards
+    points = centres[rng.integers(0, 100, 12_000)] + 0.33 * rng.normal(size=(12_000, 64))
+    points[6_000:6_400] = points[:400] + 0.05 * rng.normal(size=(400, 64))
+    points = points.astype(np.float32)
+    unit = points.astype(float) / np.linalg.norm(points.astype(float), axis=1, keepdims=True)
+    want = {}
+    for at in range(0, 12_000, 1_000):
+        link = unit[at : at + 1_000] @ unit.T >= 0.98
+        want |= {at + i: int(n) - 1 for i, n in enumerate(link.sum(axis=1))}
+    assert 800 <= sum(want.values()) < 2_000
+    found = hnsw.near_duplicate_vectors(vectors(spark, [(i, p.tolist(), 1) for i, p in enumerate(points)])).collect()
+    assert {r["vec_id"]: r["n_links"] for r in found} == want
+
+
+@pytest.mark.parametrize("evidence", [20, 10**9])
+def test_beams_take_over_on_evidence_only(monkeypatch, evidence):
+    rng = np.random.default_rng(9)
+    centres = np.repeat(rng.normal(size=(500, 16)), 4, axis=0)
+    unit = hnsw._unit(centres + 0.02 * rng.normal(size=centres.shape))
+    asked = []
+    within = hnsw.Graph.within
+    monkeypatch.setattr(hnsw.Graph, "within", lambda *a: (asked.append(len(a[1])), within(*a))[1])
+    for own in (np.arange(2000), np.full(2000, -1)):
+        row, hit = hnsw.Graph(unit).links_of(unit, own, 0.98, evidence)
+        want = {(int(a), int(b)) for a, b in zip(*np.nonzero(unit @ unit.T >= 0.98 - 1e-5), strict=True) if own[a] != b}
+        got = set(zip(row.tolist(), hit.tolist(), strict=True))
+        assert len(got) == len(row) and got <= want and len(got) >= 0.99 * len(want)
+        assert evidence == 20 or got == want
+    assert bool(asked) == (evidence == 20)
+    asked.clear()
+    one = hnsw._unit(np.ones((500, 16)) + 0.001 * rng.normal(size=(500, 16)))  # one group is no evidence of others
+    row, _ = hnsw.Graph(one).links_of(one, np.arange(500), 0.98, 20)
+    assert len(row) == 500 * 499 and not asked
+
+
 def test_components_of_chains_stars_and_loops(spark):
     rng = random.Random(6)
     chain = list(range(100, 160))

@@ -364,6 +364,16 @@ def test_language_of_held_out_documents(spark):
     assert sum(r["lang_pred"] == r["lang"] for r in held) >= 0.95 * len(held)
 
 
+def test_a_rare_language_is_learnt(spark):
+    rng = random.Random(17)
+    text = lambda words: " ".join(rng.choice(words) for _ in range(30))
+    rows = [(i, text(["the", "house", "with", "many"]), "en") for i in range(2000)]
+    rows += [(5000 + i, text(["żółw", "jest", "mały", "więc"]), "pl") for i in range(8)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = language.identify_languages(frame, train_rows=20).collect()
+    assert {(r["doc_id"] >= 5000, r["lang_pred"]) for r in found} == {(False, "en"), (True, "pl")}
+
+
 def test_language_of_odd_rows(spark, docs):
     found = language.identify_languages(docs(ODD, score="clash")).collect()
     assert sorted(r["doc_id"] for r in found) == [1, 2, 3, 4, 4, 5, 6, 7]

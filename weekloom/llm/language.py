@@ -10,6 +10,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from weekloom.llm.quality import held_out
 from weekloom.llm.texts import blocks, mix, ragged, span_hashes, spans, utf8
@@ -309,13 +310,18 @@ def identify_languages(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFra
     """Languages by a field learnt from the documents' own labels; see :func:`label_languages`.
 
     It is fitted on at most ``train_rows`` documents with a language whose CRC-32 of the id mod 5
-    is not 0 (one row of each).  Rows without ``doc_id`` are left out, repeated rows come out as often, an empty
+    is not 0 (one row of each id, its smallest language counting), dealt to the languages in turn, and
+    on one of every language however many there are.  Rows without ``doc_id`` are left out, repeated rows come out as often, an empty
     table gives an empty result.  Other columns are not read.
     """
     out = held_out(F.col("doc_id"), 5, 0)
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~out)
-    chosen = known.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows)
-    sample = known.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "lang")
+    ids = known.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("lang").alias("lang"))
+    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    ranked = ids.withColumn("_n", F.row_number().over(by_hash)).where(F.col("_n") <= train_rows)
+    dealt = ranked.orderBy("_n", F.xxhash64("doc_id"), "doc_id").limit(train_rows)
+    chosen = dealt.union(ranked.where("_n = 1")).select("doc_id", "lang").distinct()
+    sample = known.join(F.broadcast(chosen), ["doc_id", "lang"]).select("doc_id", "text", "lang")
     sample = sample.dropDuplicates(["doc_id"]).toPandas().sort_values("doc_id")
     field = fit_field(sample["text"].tolist(), sample["lang"].tolist())
     return label_languages(docs, field).withColumn("held_out", out).select(

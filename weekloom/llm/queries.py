@@ -5,7 +5,8 @@ from __future__ import annotations
 import importlib
 
 #: Modules with ``QUERIES`` (name to function of session and folder) and ``SQL`` (name to text).
-MODULES = ("language", "chat", "vptree", "repeats", "mixing", "toxicity", "quality", "simhash", "pieces", "hnsw")
+MODULES = ("language", "chat", "vptree", "repeats", "mixing", "toxicity", "quality", "simhash", "pieces", "hnsw",
+           "codes", "sketches", "infill")
 
 QUERIES = {}
 SQL = {}

@@ -146,7 +146,7 @@ def _pivot_uplift(tables: Tables) -> DataFrame:
 def _monday_sessions(source: Callable) -> DataFrame:
     columns = [measure.column for measure in m.SESSION_TOTALS.values()]
     sessions = prepare.ga_sessions(source, columns, anchor="MON")
-    return rollup(sessions, ["Week"], m.SESSION_TOTALS)
+    return rollup(sessions, ["Week"], m.SESSION_TOTALS, exact=True)
 
 
 def _corr(method: str) -> Query:

@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weekloom.functions.measures import count, total
+from weekloom.operators.exact import grouped
+
 # The action types that count as a purchase.
 PURCHASE_ACTIONS = (
     "purchase",
@@ -55,7 +58,7 @@ def join_ad_actions(
     if fanout:
         right = right.select(*AD_DAY, "action_type", "value")
     else:
-        right = right.groupBy(*AD_DAY).agg(F.sum("value").alias("value"))
+        right = grouped(right, AD_DAY, {"value": total("value")})
         # Joined as they lie, the sums would pin each ad-day to one task.  A key computed anew
         # makes Spark shuffle them, and adaptive execution may then split a busy ad-day.
         right = right.withColumn("date", F.concat("date", F.lit("")))
@@ -77,14 +80,14 @@ def ad_day_totals(
     rows, whose quotient is the average of the row-level ROI.
     """
     spend = F.col("spend").cast("double")
-    spent = _keyed(insights).groupBy(*AD_DAY, "campaign_name").agg(
-        F.count(F.lit(1)).alias("_insights"),
-        *(F.sum(c).alias(f"_{c}") for c in ("spend", "impressions", "clicks")),
-        F.sum(F.try_divide(F.lit(1.0), spend)).alias("_per_spend"),
-    )
-    bought = _keyed(purchase_actions(actions, types)).groupBy(*AD_DAY).agg(
-        F.count(F.lit(1)).alias("_actions"), F.sum("value").alias("_value")
+    shown = _keyed(insights).withColumns(
+        {"_one": F.lit(1), "_per_spend": F.try_divide(F.lit(1.0), spend)}
     )
+    totals = {f"_{c}": total(c) for c in ("spend", "impressions", "clicks")}
+    totals |= {"_insights": count("_one"), "_per_spend": total("_per_spend")}
+    spent = grouped(shown, [*AD_DAY, "campaign_name"], totals)
+    acted = _keyed(purchase_actions(actions, types)).withColumn("_one", F.lit(1))
+    bought = grouped(acted, AD_DAY, {"_actions": count("_one"), "_value": total("value")})
     times = F.coalesce(F.col("_actions"), F.lit(1).cast("bigint"))
     value = F.col("_value")
     roi = F.coalesce(value.cast("double") * F.col("_per_spend"), F.lit(0.0))

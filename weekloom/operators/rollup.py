@@ -7,7 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pyspark.sql import types as T
+
 from weekloom.functions.measures import Difference, Measure, Ratio, aggregate, with_derived
+from weekloom.operators import exact as exactly
 
 
 def quoted(name: str) -> Column:
@@ -28,15 +31,38 @@ def rollup(
     measures: Mapping[str, Measure],
     derived: Mapping[str, Ratio | Difference] | None = None,
     nullable: Sequence[str] = (),
+    exact: bool = False,
 ) -> DataFrame:
     """Aggregate ``df`` by ``keys`` and add ratios.
 
     Rows with a NULL key are left out, except for the keys named in ``nullable``.  Every
     measure combines before the shuffle, so a key holding much of the data moves one partial
     row per task; distinct counts shuffle on (keys, value) first for the same reason.
+
+    With ``exact``, sums and means of floating-point columns are the nearest doubles to the true
+    ones and don't depend on the order of rows (:mod:`weekloom.operators.exact`).
     """
     types = {field.name: field.dataType for field in df.schema.fields}
-    columns = [aggregate(m, types[m.column]).alias(name) for name, m in measures.items()]
     kept = require(df, [key for key in keys if key not in nullable])
-    grouped = kept.groupBy(*keys) if keys else kept
-    return with_derived(grouped.agg(*columns), derived or {})
+    summed = [m for m in measures.values() if m.how in ("sum", "mean")]
+    if exact and any(exactly.is_double(types[m.column]) for m in summed):
+        flags = {m.column for m in summed if isinstance(types[m.column], T.BooleanType)}
+        kept = kept.withColumns({c: quoted(c).cast("int") for c in flags})
+        out = exactly.grouped(kept, keys, measures)
+        out = out.select(
+            *keys,
+            *(_filled(m, types[m.column], name).alias(name) for name, m in measures.items()),
+        )
+    else:
+        columns = [aggregate(m, types[m.column]).alias(name) for name, m in measures.items()]
+        grouped = kept.groupBy(*keys) if keys else kept
+        out = grouped.agg(*columns)
+    return with_derived(out, derived or {})
+
+
+def _filled(measure: Measure, dtype: T.DataType, name: str) -> Column:
+    """A finished measure with the types and zeros of :func:`aggregate`."""
+    if measure.how != "sum":
+        return quoted(name)
+    whole = isinstance(dtype, T.IntegralType | T.BooleanType)
+    return F.coalesce(quoted(name), F.lit(0)).cast("bigint" if whole else "double")

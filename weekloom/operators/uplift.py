@@ -22,9 +22,8 @@ LIFTS = ("revenue", "profit", "orders")
 
 def daily_averages(sales: DataFrame) -> DataFrame:
     """Weekly totals per promotion, its active days and its averages per active day."""
-    weekly = rollup(
-        sales, ["Week", "promo_clean"], PROMO_TOTALS | {"days_active": distinct("order_ts")}
-    )
+    measures = PROMO_TOTALS | {"days_active": distinct("order_ts")}
+    weekly = rollup(sales, ["Week", "promo_clean"], measures, exact=True)
     return weekly.withColumns(
         {
             f"avg_daily_{name}": F.try_divide(

@@ -10,7 +10,6 @@ from pyspark.sql import types as T
 
 from weekloom.functions import dates, text
 from weekloom.operators.ads import ad_day_totals
-from weekloom.sources.schemas import exact_numbers
 from weekloom.sources.tables import Source
 
 # Cleaned column of website_sales -> source columns it is made of.
@@ -28,7 +27,7 @@ def website_sales(source: Source, columns: Iterable[str]) -> DataFrame:
     """Orders with their week, unified traffic source, campaign and promotion."""
     wanted = list(dict.fromkeys(columns))
     inputs = dict.fromkeys(i for c in wanted for i in SALES_INPUTS.get(c, (c,)))
-    sales = exact_numbers(source("website_sales", list(inputs)))
+    sales = source("website_sales", list(inputs))
     made = {}
     if "orderdate" in inputs:
         made["order_ts"] = dates.parse_day("orderdate")
@@ -49,7 +48,7 @@ def website_sales(source: Source, columns: Iterable[str]) -> DataFrame:
 def ga_sessions(source: Source, columns: Iterable[str], anchor: str = "TUE") -> DataFrame:
     """Sessions with their week.  Weeks start on Tuesday unless ``anchor`` says otherwise."""
     inputs = ["date", *(c for c in dict.fromkeys(columns) if c != "Week")]
-    sessions = exact_numbers(source("ga_sessions_revenue", inputs))
+    sessions = source("ga_sessions_revenue", inputs)
     if "landing_page" in inputs:
         sessions = sessions.fillna({"landing_page": text.UNSPECIFIED})
     day = dates.parse_day("date", dates.US_DAY)
@@ -70,14 +69,14 @@ def with_cost(stats: DataFrame) -> DataFrame:
 
 def google_ads(source: Source, columns: Iterable[str], anchor: str = "TUE") -> DataFrame:
     """Ad statistics with cost and week.  Weeks start on Tuesday unless ``anchor`` says so."""
-    stats = with_cost(exact_numbers(source("google_ads_stats", None)))
+    stats = with_cost(source("google_ads_stats", None))
     week = dates.week_start(dates.parse_day("date"), anchor)
     return stats.withColumn("Week", week).select(*dict.fromkeys(columns))
 
 
 def bing_ads(source: Source, columns: Iterable[str]) -> DataFrame:
     """Ad statistics with cost and week; an unreadable date gives no week."""
-    stats = exact_numbers(source("bing_ads_stats", None)).withColumnRenamed("spend", "cost")
+    stats = source("bing_ads_stats", None).withColumnRenamed("spend", "cost")
     week = dates.week_start(dates.parse_day("date", strict=False))
     return stats.withColumn("Week", week).select(*dict.fromkeys(columns))
 
@@ -87,7 +86,7 @@ def affiliate_sales(
 ) -> DataFrame:
     """Affiliate orders with their week; an unreadable date gives no week."""
     inputs = ["eventdate", *(c for c in dict.fromkeys(columns) if c != "Week")]
-    sales = exact_numbers(source("affiliate_sales", inputs))
+    sales = source("affiliate_sales", inputs)
     week = dates.week_start(dates.parse_moment("eventdate"), keep_time=keep_time)
     return sales.withColumn("Week", week)
 
@@ -95,8 +94,7 @@ def affiliate_sales(
 def facebook_ads(source: Source, columns: Iterable[str]) -> DataFrame:
     """Sums per ad-day over insights and their purchases, with the week of the day."""
     totals = ad_day_totals(
-        exact_numbers(source("facebook_ads_insights", None)),
-        exact_numbers(source("facebook_ads_actions", None)),
+        source("facebook_ads_insights", None), source("facebook_ads_actions", None)
     )
     week = dates.week_start(dates.parse_moment("date"))
     return totals.withColumn("Week", week).select(*dict.fromkeys(columns))

@@ -36,7 +36,7 @@ class Rollup:
 
     def build(self, tables: Tables) -> DataFrame:
         rows = tables.prepared(self.source, self.columns())
-        out = rollup(rows, self.keys, self.measures, self.derived, self.nullable)
+        out = rollup(rows, self.keys, self.measures, self.derived, self.nullable, exact=True)
         if self.label_week:
             out = out.withColumn("Week", week_label("Week"))
         return out.drop(*self.hidden)

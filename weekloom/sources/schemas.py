@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SCHEMAS: dict[str, str] = {
@@ -29,10 +28,6 @@ SCHEMAS: dict[str, str] = {
         orderdiscountusd DOUBLE, correctedamountusd DOUBLE""",
 }
 
-#: The type money and rates are summed in where a source has them as floating-point numbers.
-EXACT = "decimal(30,12)"
-
-
 def schema_of(table: str) -> T.StructType:
     return T.StructType.fromDDL(SCHEMAS[table])
 
@@ -42,13 +37,3 @@ def check_columns(table: str, df: DataFrame, needed: list[str]) -> None:
     missing = [column for column in needed if column not in df.columns]
     if missing:
         raise ValueError(f"{table} lacks the columns {missing}")
-
-
-def exact_numbers(df: DataFrame) -> DataFrame:
-    """Floating-point columns as EXACT, so that sums do not depend on the order of the rows.
-
-    Digits after the twelfth behind the point are rounded.  What is not a finite number of at
-    most 18 digits before the point becomes NULL, which sums and averages skip.
-    """
-    floats = [f.name for f in df.schema.fields if isinstance(f.dataType, T.FloatType | T.DoubleType)]
-    return df.withColumns({n: F.col(n).try_cast(EXACT) for n in floats}) if floats else df

@@ -23,10 +23,11 @@ from weekloom.operators.rank import keep_top_k  # noqa: E402
 from weekloom.operators.rollup import rollup  # noqa: E402
 from weekloom.plans import prepare  # noqa: E402
 from weekloom.plans.batch import run_batch  # noqa: E402
-from weekloom.plans.tables import OUTPUTS, TABLES, Range, Tables  # noqa: E402
+from weekloom.plans.tables import ALIASES, DATASETS, OUTPUTS, TABLES, Tables  # noqa: E402
+from weekloom.sources.layer import Layer, StoredRange, StoredTables, stamp_of  # noqa: E402
 from weekloom.sources.retail import retail_source  # noqa: E402
 from weekloom.sources.schemas import SCHEMAS  # noqa: E402
-from weekloom.sources.tables import fresh_folder, staged, write_table  # noqa: E402
+from weekloom.sources.tables import fresh_folder, staged  # noqa: E402
 
 try:  # the subpackage for training data can be left out of an installation
     import corpus_pipeline
@@ -61,15 +62,17 @@ def _plain(df: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Report:
-    """A query over weekly tables: all of their weeks, or those that ``cut`` leaves."""
+    """A query over weekly tables: computed with all their weeks, or stored and cut by ``cut``."""
 
-    step: Callable[[Tables | Range], DataFrame]
+    step: Callable[[Tables | StoredRange], DataFrame]
     digits: int | None = None
-    cut: Callable[[Tables], Range] | None = None
+    cut: Callable[[StoredTables], StoredRange] | None = None
 
     def __call__(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        tables = Tables(retail_source(spark, sf_dir))
-        out = self.step(self.cut(tables) if self.cut else tables)
+        if self.cut:
+            out = self.step(self.cut(_stored(spark, sf_dir)))
+        else:
+            out = self.step(Tables(retail_source(spark, sf_dir)))
         return out if self.digits is None else _round(out, self.digits)
 
 
@@ -81,12 +84,28 @@ def _on(table: str, step: Callable[[DataFrame], DataFrame], digits: int | None =
 _with = Report  # a query over several weekly tables
 
 
-def _recent(tables: Tables) -> Range:
-    return Range(tables, lambda d: wk.preset_range(d, tables[OVERALL], "Last 90 Days"))
+_LAYERS: dict[tuple[str, str], Layer] = {}
 
 
-def _no_weeks(tables: Tables) -> Range:
-    return Range(tables, lambda d: wk.filter_weeks(d, "1900-01-01", "1900-12-31"))
+def _stored(spark: SparkSession, sf_dir: str) -> StoredTables:
+    """The session's layer of weekly tables over ``sf_dir``.  A table is written when first asked for.
+
+    Tables made from other files than now lie in ``sf_dir`` are written anew.
+    """
+    at = spark.sparkContext.applicationId, sf_dir
+    if at not in _LAYERS:
+        _LAYERS[at] = Layer(spark, fresh_folder(spark, "weekly"))
+    stamp = stamp_of(spark, [sf_dir])
+    made = Tables(retail_source(spark, sf_dir))
+    return StoredTables(_LAYERS[at], made.__getitem__, stamp, DATASETS | ALIASES)
+
+
+def _between(first: str, last: str) -> Callable[[StoredTables], StoredRange]:
+    return lambda tables: tables.between(first, last)
+
+
+def _last(preset: str) -> Callable[[StoredTables], StoredRange]:
+    return lambda tables: tables.last_days(wk.PRESETS[preset], OVERALL)
 
 
 def _source(step: Callable[[Callable], DataFrame]) -> Query:
@@ -104,15 +123,15 @@ def _sales(*columns: str) -> Query:
 
 
 def _preset(table: str, preset: str) -> Query:
-    return _with(lambda t: wk.preset_range(t[table], t["website_weekly_overall"], preset))
+    return Report(lambda tables: tables[table], cut=_last(preset))
 
 
 def _batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All output tables written to a shared folder, and the rows in each."""
-    paths = run_batch(spark, retail_source(spark, sf_dir), fresh_folder(spark, "batch"))
+    layer = run_batch(spark, retail_source(spark, sf_dir), fresh_folder(spark, "batch"))
     counts = None
-    for name, path in paths.items():
-        one = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("row_count"))
+    for name in layer.current():
+        one = layer[name].agg(F.count(F.lit(1)).alias("row_count"))
         one = one.select(F.lit(name).alias("table_name"), "row_count")
         counts = one if counts is None else counts.unionByName(one)
     return counts
@@ -120,8 +139,7 @@ def _batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = Tables(retail_source(spark, sf_dir))["website_weekly_overall"]
-    path = write_table(table, fresh_folder(spark, "sink"), "website_weekly_overall")
-    return spark.read.parquet(path)
+    return Layer(spark, fresh_folder(spark, "sink")).replace("website_weekly_overall", table)
 
 
 def _normalised(tables: Tables) -> DataFrame:
@@ -269,8 +287,8 @@ def queries() -> dict[str, Query]:
     found["fb_joined_preagg"] = _joined(fanout=False)
 
     # week ranges
-    found["filter_week_range"] = _on(
-        OVERALL, lambda d: wk.filter_weeks(d, "1996-01-01", "1997-06-30")
+    found["filter_week_range"] = Report(
+        lambda tables: tables[OVERALL], cut=_between("1996-01-01", "1997-06-30")
     )
     for preset in wk.PRESETS:
         found[preset.lower().replace(" ", "_")] = _preset(OVERALL, preset)
@@ -434,9 +452,9 @@ def queries() -> dict[str, Query]:
     )
     # reports over a range of weeks
     for name in RANGED:
-        found[f"{name}_last_90_days"] = replace(found[name], cut=_recent)
+        found[f"{name}_last_90_days"] = replace(found[name], cut=_last("Last 90 Days"))
     for name in CARDS:
-        found[f"{name}_no_weeks"] = replace(found[name], cut=_no_weeks)
+        found[f"{name}_no_weeks"] = replace(found[name], cut=_between("1900-01-01", "1900-12-31"))
     if llm:
         found |= llm.QUERIES
         found["pipeline"] = corpus_pipeline.run

@@ -8,6 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 
 from weekloom.plans.tables import OUTPUTS, TABLES, Same, Tables, Top
+from weekloom.sources.layer import Layer, Version
 from weekloom.sources.tables import Source, fresh_folder, write_table
 
 # Prepared sources that several tables share and that are costly to make.
@@ -40,24 +41,24 @@ def run_batch(
     target: str,
     names: Iterable[str] = OUTPUTS,
     at_once: int = 4,
-) -> dict[str, str]:
-    """Write the tables ``names`` as parquet under ``target``; table name to path.
+) -> Layer:
+    """Write the tables ``names`` to the layer under ``target`` and publish them together.
 
-    Rankings and copies start from the written table they belong to.  Tables of one wave do
+    Until all are written, readers of the layer see the tables of the run before, and keep seeing them
+    if this one fails.  Rankings and copies start from the written table they belong to.  Tables of one wave do
     not depend on each other; ``at_once`` of them run together to keep all executors busy.
     """
     names = list(names)
     staged = stage(spark, source, names)
+    layer = Layer(spark, target)
     later = [n for n in names if isinstance(TABLES[n], Top | Same) and TABLES[n].of in names]
-    written: dict[str, DataFrame] = {}
-    paths: dict[str, str] = {}
+    made: dict[str, Version] = {}
     for wave in ([n for n in names if n not in later], later):
-        tables = Tables(source, staged, written)
+        tables = Tables(source, staged, {n: layer.read(v) for n, v in made.items()})
         with ThreadPoolExecutor(at_once) as pool:
-            done = pool.map(lambda n: (n, write_table(tables[n], target, n)), wave)
-            paths.update(done)
-        written |= {n: spark.read.parquet(paths[n]) for n in wave}
-    return paths
+            made |= zip(wave, pool.map(lambda n: layer.write(n, tables[n]), wave), strict=True)
+    layer.publish(made.values())
+    return layer
 
 
 def _with_inputs(names: Iterable[str]) -> set[str]:

@@ -16,7 +16,8 @@ Source = Callable[[str, "Sequence[str] | None"], DataFrame]
 FEW_SPLITS = 16
 
 
-def _pick(table: str, df: DataFrame, columns: Sequence[str] | None) -> DataFrame:
+def pick(table: str, df: DataFrame, columns: Sequence[str] | None) -> DataFrame:
+    """The given columns of a table, all of them for None."""
     if columns is None:
         return df
     check_columns(table, df, list(columns))
@@ -25,7 +26,7 @@ def _pick(table: str, df: DataFrame, columns: Sequence[str] | None) -> DataFrame
 
 def parquet_source(spark: SparkSession, base: str) -> Source:
     """Tables as parquet folders ``<base>/<table>``."""
-    return lambda table, columns=None: _pick(
+    return lambda table, columns=None: pick(
         table, spark.read.parquet(f"{base.rstrip('/')}/{table}"), columns
     )
 
@@ -33,7 +34,7 @@ def parquet_source(spark: SparkSession, base: str) -> Source:
 def catalog_source(spark: SparkSession, database: str | None = None) -> Source:
     """Tables of the session catalog."""
     prefix = f"{database}." if database else ""
-    return lambda table, columns=None: _pick(table, spark.table(prefix + table), columns)
+    return lambda table, columns=None: pick(table, spark.table(prefix + table), columns)
 
 
 def jdbc_source(
@@ -55,7 +56,7 @@ def jdbc_source(
             reader = reader.options(
                 partitionColumn=column, lowerBound=lower, upperBound=upper, numPartitions=parts
             )
-        return _pick(table, reader.load(), columns)
+        return pick(table, reader.load(), columns)
 
     return read
 

@@ -67,7 +67,10 @@ def join_ad_actions(
 
 
 def ad_day_totals(
-    insights: DataFrame, actions: DataFrame, types: Sequence[str] = PURCHASE_ACTIONS
+    insights: DataFrame,
+    actions: DataFrame,
+    types: Sequence[str] = PURCHASE_ACTIONS,
+    roi: bool = True,
 ) -> DataFrame:
     """Sums over the fanned-out join per ad-day and campaign name, without fanning out.
 
@@ -77,20 +80,25 @@ def ad_day_totals(
     the join and not a product of two lists.
 
     Columns: the ad-day, campaign_name, revenue, cost, impressions, clicks, and roi_sum and
-    rows, whose quotient is the average of the row-level ROI.
+    rows, whose quotient is the average of the row-level ROI.  Without ``roi``, roi_sum is left out
+    and spares the exact sum of quotients.
     """
-    spend = F.col("spend").cast("double")
-    shown = _keyed(insights).withColumns(
-        {"_one": F.lit(1), "_per_spend": F.try_divide(F.lit(1.0), spend)}
-    )
+    shown = _keyed(insights).withColumn("_one", F.lit(1))
     totals = {f"_{c}": total(c) for c in ("spend", "impressions", "clicks")}
-    totals |= {"_insights": count("_one"), "_per_spend": total("_per_spend")}
+    totals["_insights"] = count("_one")
+    if roi:
+        spend = F.col("spend").cast("double")
+        shown = shown.withColumn("_per_spend", F.try_divide(F.lit(1.0), spend))
+        totals["_per_spend"] = total("_per_spend")
     spent = grouped(shown, [*AD_DAY, "campaign_name"], totals)
     acted = _keyed(purchase_actions(actions, types)).withColumn("_one", F.lit(1))
     bought = grouped(acted, AD_DAY, {"_actions": count("_one"), "_value": total("value")})
     times = F.coalesce(F.col("_actions"), F.lit(1).cast("bigint"))
     value = F.col("_value")
-    roi = F.coalesce(value.cast("double") * F.col("_per_spend"), F.lit(0.0))
+    quotients = []
+    if roi:
+        each = F.coalesce(value.cast("double") * F.col("_per_spend"), F.lit(0.0))
+        quotients = [each.alias("roi_sum")]
     return spent.join(bought, list(AD_DAY), "left").select(
         *AD_DAY,
         "campaign_name",
@@ -98,6 +106,6 @@ def ad_day_totals(
         (F.col("_spend") * times).alias("cost"),
         (F.col("_impressions") * times).alias("impressions"),
         (F.col("_clicks") * times).alias("clicks"),
-        roi.alias("roi_sum"),
+        *quotients,
         (F.col("_insights") * times).alias("rows"),
     )

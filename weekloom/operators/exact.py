@@ -33,42 +33,29 @@ INFINITE = {1: 100, -1: 101}
 #: Lowers the lowest doubles' distance from zero: multiplying by 2^(WIDTH * LIFT) is exact for them.
 LIFT = 20
 
-_LIMB = "array<struct<slot: int, limb: bigint>>"
+_NONE = "CAST(array() AS ARRAY<STRUCT<slot: INT, limb: BIGINT>>)"
 
 
-def _power(exponent: Column) -> Column:
-    return F.pow(F.lit(2.0), exponent.cast("double"))
+def _double(value: float) -> str:
+    return f"{value!r}D"
 
 
-def _limbs(value: Column, lift: int) -> Column:
-    """The limbs of a nonzero double as (slot, limb), five at most."""
-    lifted = value * F.lit(2.0 ** (WIDTH * lift))
-    # a logarithm rounded across a power of two only makes the first limb one bit longer or zero
-    top = F.floor(F.log2(F.abs(lifted)) / F.lit(float(WIDTH))).cast("int")
-
-    def cut(state: Column, step: Column) -> Column:
-        slot = state["top"] - step
-        limb = (state["rest"] / _power(slot * WIDTH)).cast("bigint")
-        entry = F.struct((slot - lift).alias("slot"), limb.alias("limb"))
-        return F.struct(
-            state["top"].alias("top"),
-            (state["rest"] - limb.cast("double") * _power(slot * WIDTH)).alias("rest"),
-            F.array_append(state["found"], entry).alias("found"),
-        )
+def _power(exponent: str) -> str:
+    return f"pow(2.0D, CAST({exponent} AS DOUBLE))"
 
-    start = F.struct(
-        top.alias("top"), lifted.alias("rest"), F.array().cast(_LIMB).alias("found")
-    )
-    steps = F.array(*(F.lit(i) for i in range(5)))
-    found = F.aggregate(steps, start, cut, lambda state: state["found"])
-    return F.filter(found, lambda entry: entry["limb"] != 0)
 
-
-def _of_measure(limbs: Column, i: int) -> Column:
-    return F.transform(
-        limbs,
-        lambda e: F.struct(F.lit(i).alias("measure"), e["slot"].alias("slot"), e["limb"].alias("limb")),
-    )
+def _limbs(value: str, lift: int) -> str:
+    """The limbs of a nonzero double as (slot, limb), five at most."""
+    lifted = f"{value} * {_double(2.0 ** (WIDTH * lift))}"
+    # a logarithm rounded across a power of two only makes the first limb one bit longer or zero
+    top = f"CAST(floor(log2(abs({lifted})) / {WIDTH}.0D) AS INT)"
+    unit = _power(f"(s.top - i) * {WIDTH}")
+    limb = f"CAST(s.rest / {unit} AS BIGINT)"
+    return f"""filter(aggregate(array(0, 1, 2, 3, 4),
+        named_struct('top', {top}, 'rest', {lifted}, 'found', {_NONE}),
+        (s, i) -> named_struct('top', s.top, 'rest', s.rest - {limb} * {unit}, 'found',
+            array_append(s.found, named_struct('slot', s.top - i - {lift}, 'limb', {limb}))),
+        s -> s.found), e -> e.limb <> 0)"""
 
 
 def _split(df: DataFrame, doubles: Sequence[str]) -> DataFrame:
@@ -76,135 +63,118 @@ def _split(df: DataFrame, doubles: Sequence[str]) -> DataFrame:
 
     NaN counts as missing.  Each step reads the one before, so it is a projection of its own.
     """
-    bound = float(UNIT * UNIT)
-    infinite = F.lit(float("inf"))
-    values, wholes, fractions, smalls, out = {}, {}, {}, {}, {}
+    bound, infinite = _double(2.0 ** (2 * WIDTH)), "CAST('Infinity' AS DOUBLE)"
+    values, rests, parts, smalls, out = {}, {}, {}, {}, {}
     tails = []
     for i, name in enumerate(doubles):
-        value, whole, rest = F.col(f"_x_{i}"), F.col(f"_whole_{i}"), F.col(f"_rest_{i}")
-        given = F.col(f"`{name}`").cast("double")
-        values[f"_x_{i}"] = F.when(~F.isnan(given), given)
-        finite = F.when(F.abs(value) < infinite, value)
-        values_rest = finite % F.lit(bound)
-        wholes[f"_rest_{i}"] = values_rest
-        wholes[f"_whole_{i}"] = values_rest.cast("bigint")
-        fractions[f"_part_{i}"] = (rest - whole.cast("double")) * F.lit(bound)
-        part = F.col(f"_part_{i}")
-        smalls[f"_small_{i}"] = (part - part.cast("bigint").cast("double")) * F.lit(float(UNIT))
-        small = F.col(f"_small_{i}")
+        given = f"CAST(`{name}` AS DOUBLE)"
+        values[f"_x_{i}"] = f"CASE WHEN NOT isnan({given}) THEN {given} END"
+        rests[f"_rest_{i}"] = f"CASE WHEN abs(_x_{i}) < {infinite} THEN _x_{i} % {bound} END"
+        parts[f"_part_{i}"] = f"(_rest_{i} - CAST(_rest_{i} AS BIGINT)) * {bound}"
+        smalls[f"_small_{i}"] = f"(_part_{i} - CAST(_part_{i} AS BIGINT)) * {_double(float(UNIT))}"
         # BIGINT division and remainder cut towards zero, as the casts do
-        out[f"_1_{i}"] = F.expr(f"_whole_{i} div {UNIT}")
-        out[f"_0_{i}"] = F.expr(f"_whole_{i} % {UNIT}")
-        out[f"_-1_{i}"] = F.expr(f"CAST(_part_{i} AS BIGINT) div {UNIT}")
-        out[f"_-2_{i}"] = F.expr(f"CAST(_part_{i} AS BIGINT) % {UNIT}")
-        out[f"_-3_{i}"] = small.cast("bigint")
-        low = (small - small.cast("bigint").cast("double")) * F.lit(2.0 ** (WIDTH * CORE[0]))
-        high = F.coalesce(finite, F.lit(0.0)) - F.coalesce(rest, F.lit(0.0))
-        nothing = F.array().cast(_LIMB)
-        sides = F.concat(
-            F.when(high != 0, _limbs(high, 0)).otherwise(nothing),
-            F.when(low != 0, _limbs(low, LIFT)).otherwise(nothing),
-        )
-        endless = F.array(
-            F.struct(
-                F.when(value > 0, INFINITE[1]).otherwise(INFINITE[-1]).alias("slot"),
-                F.lit(1).cast("bigint").alias("limb"),
-            )
+        out[f"_1_{i}"] = f"CAST(_rest_{i} AS BIGINT) div {UNIT}"
+        out[f"_0_{i}"] = f"CAST(_rest_{i} AS BIGINT) % {UNIT}"
+        out[f"_-1_{i}"] = f"CAST(_part_{i} AS BIGINT) div {UNIT}"
+        out[f"_-2_{i}"] = f"CAST(_part_{i} AS BIGINT) % {UNIT}"
+        out[f"_-3_{i}"] = f"CAST(_small_{i} AS BIGINT)"
+        unit = _double(2.0 ** (WIDTH * CORE[0]))
+        low = f"((_small_{i} - CAST(_small_{i} AS BIGINT)) * {unit})"
+        high = f"(_x_{i} - _rest_{i})"
+        endless = f"""array(named_struct('slot', CASE WHEN _x_{i} > 0 THEN {INFINITE[1]}
+            ELSE {INFINITE[-1]} END, 'limb', 1L))"""
+        tails.append(
+            f"""transform(CASE WHEN _x_{i} IS NULL OR ({high} = 0 AND {low} = 0) THEN {_NONE}
+            WHEN _rest_{i} IS NULL THEN {endless}
+            ELSE concat(CASE WHEN {high} <> 0 THEN {_limbs(high, 0)} ELSE {_NONE} END,
+                CASE WHEN {low} <> 0 THEN {_limbs(low, LIFT)} ELSE {_NONE} END) END,
+            e -> named_struct('measure', {i}, 'slot', e.slot, 'limb', e.limb))"""
         )
-        beside = (
-            F.when((high == 0) & (low == 0) & finite.isNotNull(), nothing)
-            .when(value.isNull(), nothing)
-            .when(finite.isNull(), endless)
-            .otherwise(sides)
-        )
-        tails.append(_of_measure(beside, i))
-    for step in (values, wholes, fractions, smalls):
-        df = df.withColumns(step)
-    return df.withColumns(out | {"_tails": F.concat(*tails)})
-
-
-def _recombine(core: Mapping[int, Column], tails: Column) -> Column:
-    """The double nearest to the sum of all limbs."""
-    by_slot = F.map_from_entries(tails)
-    plain = F.array(
-        *(F.lit(0).cast("bigint") for _ in range(3)), *(core[s] for s in CORE),
-        *(F.lit(0).cast("bigint") for _ in range(3)),
-    )
-    slots = F.sequence(F.lit(SLOTS[0]), F.lit(SLOTS[1]))
-    core_of = F.map_from_arrays(F.array(*(F.lit(s) for s in CORE)), F.array(*(core[s] for s in CORE)))
-    zero = F.lit(0).cast("bigint")
-    wide = F.transform(
-        slots,
-        lambda s: F.coalesce(F.try_element_at(core_of, s), zero)
-        + F.coalesce(F.try_element_at(by_slot, s), zero),
-    )
-    narrow = F.size(tails) == 0
-    pos, neg = (F.try_element_at(by_slot, F.lit(INFINITE[s])).isNotNull() for s in (1, -1))
-    return (
-        F.when(narrow, _rounded(plain, CORE[0] - 3))
-        .when(pos & neg, F.lit(float("nan")))
-        .when(pos, F.lit(float("inf")))
-        .when(neg, F.lit(float("-inf")))
-        .otherwise(_rounded(wide, SLOTS[0]))
-    )
-
-
-def _carried(limbs: Column) -> Column:
-    """Digits from 0 to UNIT - 1, lowest first, and the carry beyond the last: negative for a negative sum."""
+    out["_tails"] = f"concat({', '.join(tails)})"
+    for step in (values, rests, parts, smalls, out):
+        df = df.withColumns({name: F.expr(text) for name, text in step.items()})
+    return df
 
-    def carry(state: Column, limb: Column) -> Column:
-        value = limb + state["carry"]
-        return F.struct(
-            F.shiftright(value, WIDTH).alias("carry"),
-            F.array_append(state["digits"], value.bitwiseAND(F.lit(UNIT - 1).cast("bigint"))).alias("digits"),
-        )
 
-    start = F.struct(
-        F.lit(0).cast("bigint").alias("carry"), F.array().cast("array<bigint>").alias("digits")
-    )
-    return F.aggregate(limbs, start, carry)
+def _carried(core: Mapping[int, str]) -> dict[int, str]:
+    """The sum of each core slot with the carry of those below; its digit is in the last WIDTH bits.
 
+    The carry of the highest is left in it, so its sign is that of the whole.
+    """
+    carried: dict[int, str] = {}
+    for slot in CORE:
+        below = carried.get(slot - 1)
+        carried[slot] = core[slot] if below is None else f"({core[slot]} + shiftright({below}, {WIDTH}))"
+    return carried
+
+
+def _with_totals(df: DataFrame, count: int) -> DataFrame:
+    """Add ``_sum_{i}``, the double nearest to the sum of all limbs in ``_total_{i}``."""
+    negative, size, out = {}, {}, {}
+    for i in range(count):
+        core = {s: f"_total_{i}.s{s + 9}" for s in CORE}
+        sizes = {s: f"_size{s + 9}_{i}" for s in CORE}
+        negative[f"_negative_{i}"] = f"{_carried(core)[CORE[-1]]} < 0"
+        size |= {sizes[s]: f"CASE WHEN _negative_{i} THEN -{core[s]} ELSE {core[s]} END" for s in CORE}
+        carried = _carried(sizes)
+        top = carried[CORE[-1]]
+        d0, d1, d2, d3 = (f"({carried[s]} & {UNIT - 1})" for s in reversed(CORE[:-1]))
+        pair = lambda high, low: f"({high} * {UNIT} + {low})"
+        last = f"({pair(d1, d2)} | CASE WHEN {d3} <> 0 THEN 1L ELSE 0L END)"
+        bound = _double(2.0 ** (2 * WIDTH))
+        # as in _rounded: two exact doubles, whose sum is rounded once
+        large = f"(CAST({pair(top, d0)} AS DOUBLE) * {bound} + {last}) / {bound}"
+        small = f"(CAST({pair(d0, d1)} AS DOUBLE) * {bound} + {pair(d2, d3)}) / {_double(2.0 ** (3 * WIDTH))}"
+        usual = f"(CASE WHEN _negative_{i} THEN -1.0D ELSE 1.0D END) * CASE WHEN {top} > 0 THEN {large} ELSE {small} END"
+        tails = f"_total_{i}.tails"
+        out[f"_sum_{i}"] = f"""CASE WHEN size({tails}) = 0 AND {top} < {1 << 28}L THEN {usual}
+            ELSE {_recombine(core, tails)} END"""
+    for step in (negative, size, out):
+        df = df.withColumns({name: F.expr(text) for name, text in step.items()})
+    return df
+
+
+def _recombine(core: Mapping[int, str], tails: str) -> str:
+    """The double nearest to the sum of all limbs, wherever they lie."""
+    known = ", ".join(f"named_struct('slot', {s}, 'limb', {core[s]})" for s in CORE)
+    limbs = f"""transform(sequence({SLOTS[0]}, {SLOTS[1]}), slot -> aggregate(
+        filter(concat({tails}, array({known})), e -> e.slot = slot), 0L, (sum, e) -> sum + e.limb))"""
+    above, below = (f"exists({tails}, e -> e.slot = {INFINITE[s]})" for s in (1, -1))
+    return f"""CASE WHEN {above} AND {below} THEN CAST('NaN' AS DOUBLE)
+        WHEN {above} THEN CAST('Infinity' AS DOUBLE) WHEN {below} THEN CAST('-Infinity' AS DOUBLE)
+        ELSE {_rounded(limbs)} END"""
+
+
+def _digits(limbs: str) -> str:
+    """Digits from 0 to UNIT - 1, lowest first, and the carry beyond the last: negative for a negative sum."""
+    return f"""aggregate({limbs}, named_struct('carry', 0L, 'digits', CAST(array() AS ARRAY<BIGINT>)),
+        (c, limb) -> named_struct('carry', shiftright(c.carry + limb, {WIDTH}),
+            'digits', array_append(c.digits, (c.carry + limb) & {UNIT - 1})))"""
 
-def _rounded(limbs: Column, lowest: int) -> Column:
-    """The nearest double to the sum of limbs whose first slot is ``lowest``; the first three are 0.
+
+def _rounded(limbs: str) -> str:
+    """The nearest double to the sum of limbs of all SLOTS; the lowest three are 0.
 
     The first two digits other than zero and the next two make two exact doubles; if any digit
     follows, the last bit is set.  Their sum is then rounded as the whole sum would be.
     """
-    negative = _carried(limbs)["carry"] < 0
-    size = F.transform(limbs, lambda limb: F.when(negative, -limb).otherwise(limb))
-    digits = _carried(size)["digits"]
-
-    def read(state: Column, digit: Column) -> Column:
-        n, place = state["n"], state["slot"]
-        started = (n > 0) | (digit != 0)
-        into = lambda name, when: F.when(
-            started & when, state[name] * F.lit(UNIT) + digit
-        ).otherwise(state[name])
-        return F.struct(
-            F.when(started, n + 1).otherwise(n).alias("n"),
-            into("high", n < 2).alias("high"),
-            into("low", (n >= 2) & (n < 4)).alias("low"),
-            (state["more"] | ((n >= 4) & (digit != 0))).alias("more"),
-            F.when(n < 4, place - 1).otherwise(place).alias("slot"),
-        )
-
-    zero = F.lit(0).cast("bigint")
-    start = F.struct(
-        F.lit(0).alias("n"), zero.alias("high"), zero.alias("low"), F.lit(False).alias("more"),
-        (F.size(limbs) + F.lit(lowest)).alias("slot"),
-    )
-
-    def double(state: Column) -> Column:
-        low = state["low"].bitwiseOR(F.when(state["more"], 1).otherwise(0).cast("bigint"))
-        both = state["high"].cast("double") * F.lit(float(UNIT * UNIT)) + low.cast("double")
-        slot = state["slot"]
-        # in two steps for the lowest slots, whose power is not a double
-        lifted = both * _power((slot + LIFT) * WIDTH) * F.lit(2.0 ** (-WIDTH * LIFT))
-        return F.when(slot < 0, lifted).otherwise(both * _power(slot * WIDTH))
-
-    found = F.aggregate(F.reverse(digits), start, read, double)
-    return F.when(negative, -found).otherwise(found)
+    sign = f"CASE WHEN {_digits(limbs)}.carry < 0 THEN -1L ELSE 1L END"
+    digits = f"{_digits('transform(signed.limbs, limb -> signed.sign * limb)')}.digits"
+    started = "(s.n > 0 OR d <> 0)"
+    into = lambda name, when: f"CASE WHEN {started} AND {when} THEN s.{name} * {UNIT} + d ELSE s.{name} END"
+    both = f"(CAST(s.high AS DOUBLE) * {_double(2.0 ** (2 * WIDTH))} + (s.low | CASE WHEN s.more THEN 1L ELSE 0L END))"
+    # in two steps for the lowest slots, whose power is not a double
+    lifted = f"{both} * {_power(f'(s.slot + {LIFT}) * {WIDTH}')} * {_double(2.0 ** (-WIDTH * LIFT))}"
+    size = f"""aggregate(reverse({digits}),
+        named_struct('n', 0, 'high', 0L, 'low', 0L, 'more', false, 'slot', {SLOTS[1] + 1}),
+        (s, d) -> named_struct('n', CASE WHEN {started} THEN s.n + 1 ELSE s.n END,
+            'high', {into("high", "s.n < 2")}, 'low', {into("low", "s.n >= 2 AND s.n < 4")},
+            'more', s.more OR (s.n >= 4 AND d <> 0),
+            'slot', CASE WHEN s.n < 4 THEN s.slot - 1 ELSE s.slot END),
+        s -> CASE WHEN s.slot < 0 THEN {lifted} ELSE {both} * {_power(f"s.slot * {WIDTH}")} END)"""
+    # a lambda over one element names the limbs and their sign
+    return f"""transform(array(named_struct('limbs', {limbs}, 'sign', {sign})),
+        signed -> signed.sign * {size})[0]"""
 
 
 def is_double(kind: T.DataType) -> bool:
@@ -272,14 +242,16 @@ def grouped(df: DataFrame, keys: Sequence[str], measures: Mapping[str, Measure])
     first["_limb"] = F.sum("_tail.limb")
     once = df.groupBy(*keys, *distinct, *slots).agg(*(c.alias(n) for n, c in first.items()))
     found = once.groupBy(*keys).agg(*(c.alias(n) for n, c in second.items()))
+    found = _with_totals(found, len(doubles))
     out = []
     for name, m in measures.items():
-        value = F.col(f"`{name}`")
         if m.column in doubles and m.how in ("sum", "mean"):
-            total = F.col(f"_total_{doubles.index(m.column)}")
-            value = _recombine({s: total[f"s{s + 9}"] for s in CORE}, total["tails"])
-            value = F.when(total["n"] > 0, value)
+            i = doubles.index(m.column)
+            n = F.col(f"_total_{i}")["n"]
+            value = F.when(n > 0, F.col(f"_sum_{i}"))
             if m.how == "mean":
-                value = value / total["n"].cast("double")
+                value = value / n.cast("double")
+        else:
+            value = F.col(f"`{name}`")
         out.append(value.alias(name))
     return found.select(*keys, *out)

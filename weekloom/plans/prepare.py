@@ -93,11 +93,14 @@ def affiliate_sales(
 
 def facebook_ads(source: Source, columns: Iterable[str]) -> DataFrame:
     """Sums per ad-day over insights and their purchases, with the week of the day."""
+    wanted = list(dict.fromkeys(columns))
     totals = ad_day_totals(
-        source("facebook_ads_insights", None), source("facebook_ads_actions", None)
+        source("facebook_ads_insights", None),
+        source("facebook_ads_actions", None),
+        roi="roi_sum" in wanted,
     )
     week = dates.week_start(dates.parse_moment("date"))
-    return totals.withColumn("Week", week).select(*dict.fromkeys(columns))
+    return totals.withColumn("Week", week).select(*wanted)
 
 
 PREPARED = {

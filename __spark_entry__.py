@@ -27,7 +27,7 @@ from weekloom.plans.tables import ALIASES, DATASETS, OUTPUTS, TABLES, Tables  #
 from weekloom.sources.layer import Layer, StoredRange, StoredTables, stamp_of  # noqa: E402
 from weekloom.sources.retail import retail_source  # noqa: E402
 from weekloom.sources.schemas import SCHEMAS  # noqa: E402
-from weekloom.sources.tables import fresh_folder, staged  # noqa: E402
+from weekloom.sources.tables import fresh_folder  # noqa: E402
 
 try:  # the subpackage for training data can be left out of an installation
     import corpus_pipeline
@@ -57,7 +57,7 @@ def _round(df: DataFrame, digits: int) -> DataFrame:
 def _plain(df: DataFrame) -> DataFrame:
     """Decimals as doubles."""
     decimals = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DecimalType)]
-    return df.withColumns({c: F.col(c).cast("double") for c in decimals}) if decimals else df
+    return df.withColumns({c: F.col(f"`{c}`").cast("double") for c in decimals}) if decimals else df
 
 
 @dataclass(frozen=True)
@@ -76,9 +76,16 @@ class Report:
         return out if self.digits is None else _round(out, self.digits)
 
 
-def _on(table: str, step: Callable[[DataFrame], DataFrame], digits: int | None = None) -> Report:
+def _on(
+    table: str, step: Callable[[DataFrame], DataFrame], digits: int | None = None, cut=None
+) -> Report:
     """A query that applies ``step`` to a weekly table."""
-    return Report(lambda tables: step(tables[table]), digits)
+    return Report(lambda tables: step(tables[table]), digits, cut)
+
+
+def _whole(tables: StoredTables) -> StoredTables:
+    """All weeks of stored tables: for queries that read a table more than once."""
+    return tables
 
 
 _with = Report  # a query over several weekly tables
@@ -352,15 +359,17 @@ def queries() -> dict[str, Query]:
         lambda d: report.affiliate_share(d).withColumn(
             "Percent_of_Total", F.round("Percent_of_Total", 8)
         ),
+        cut=_whole,
     )
     found["top10_campaigns_by_revenue"] = _on(campaigns, report.top_campaigns_by_revenue, 4)
     found["overall_top_campaigns"] = _on(campaigns, report.overall_top_campaigns, 4)
     found["websource_top10_trend"] = _on(
         "website_websource_analysis",
         lambda d: keep_top_k(d, "cleaned_websource", m.total("Total_Revenue")),
+        cut=_whole,
     )
     found["pricing_top10_trend"] = _with(
-        lambda t: keep_top_k(_normalised(t), "strategy_base", m.total("Total_Revenue"))
+        lambda t: keep_top_k(_normalised(t), "strategy_base", m.total("Total_Revenue")), cut=_whole
     )
     found["promo_global_top10"] = _on(
         "website_promotion_top10_weekly", report.top_promotions, 4
@@ -368,7 +377,7 @@ def queries() -> dict[str, Query]:
     found["promo_uplift_top10"] = _on(
         "website_promotion_daily_uplift_top10", report.top_uplifts, 4
     )
-    found["promo_pivot_uplift"] = _with(_pivot_uplift)
+    found["promo_pivot_uplift"] = _with(_pivot_uplift, cut=_whole)
     found["best_strategy_combo"] = _on(
         "website_promotion_strategy_analysis", report.best_combinations
     )
@@ -418,19 +427,21 @@ def queries() -> dict[str, Query]:
     found["pivot_max"] = _pivot("max")
     found["pivot_min"] = _pivot("min")
     found["pivot_same_axis"] = _pivot("sum", "category", 4)
-    # On a written table, as a report does it: Catalyst would push the condition on a computed
+    # On the stored table, as a report does it: Catalyst would push the condition on a computed
     # label below the rollup and repeat the clean-up of the source for every rule.
     found["filter_contains"] = _on(
         "website_campaign_segmentation_analysis",
-        lambda d: explore.contains(staged(d, "segments"), "cleaned_websource", "goo|FACE"),
+        lambda d: explore.contains(d, "cleaned_websource", "goo|FACE"),
+        cut=_whole,
     )
     found["pivot_contains"] = _on(
         "website_campaign_segmentation_analysis",
         lambda d: explore.pivot(
-            explore.contains(staged(d, "segments"), "cleaned_websource", "goo|FACE"),
+            explore.contains(d, "cleaned_websource", "goo|FACE"),
             "campaign", "category", "Total_Revenue",
         ),
         4,
+        cut=_whole,
     )
     found["xy_series"] = _on(
         OVERALL, lambda d: explore.xy_series(d, "Order_Count", "Total_Revenue")

@@ -15,9 +15,9 @@ from weekloom.sources.layer import YEAR, Layer, StoredTables, layer_source, stam
 from weekloom.sources.retail import retail_source
 
 SF = "/root/testdata/sf0.001"
-RANGED = [
-    name for name, query in registry.queries().items() if getattr(query, "cut", None) is not None
-]
+STORED = {
+    name: query.cut for name, query in registry.queries().items() if getattr(query, "cut", None)
+}
 
 
 @pytest.fixture
@@ -140,11 +140,18 @@ def test_stored_tables_follow_the_files_they_are_made_from(spark, tmp_path):
     assert fresh.last_days(7, "t")["t"].count() == 8
 
 
-@pytest.mark.parametrize("name", RANGED)
-def test_queries_over_a_range_read_stored_partitions(spark, name):
+@pytest.mark.parametrize("name", sorted(STORED))
+def test_queries_over_stored_tables_scan_no_facts(spark, name):
+    """Tables read twice, for shares and trends, are stored; those over a range read its partitions."""
     text = plan(registry.queries()[name](spark, SF))
     for raw in ("lineitem", "events", "orders", "part", "customer"):
         assert f"{raw}.parquet" not in text
     scans = len(re.findall(r"^\(\d+\) Scan parquet", text, re.M))
     assert scans >= 1
-    assert len(re.findall(rf"PartitionFilters: \[isnotnull\({YEAR}", text)) == scans
+    if STORED[name] is not registry._whole:
+        assert len(re.findall(rf"PartitionFilters: \[isnotnull\({YEAR}", text)) == scans
+
+
+def test_shares_and_trends_are_stored():
+    for name in ("affiliate_share", "websource_top10_trend", "pricing_top10_trend", "promo_pivot_uplift"):
+        assert STORED[name] is registry._whole

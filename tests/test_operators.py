@@ -278,6 +278,36 @@ def test_share_of_total_counts_all_rows(spark):
 # -- exploration -------------------------------------------------------------------------
 
 
+def test_pivot_on_given_columns_runs_nothing_while_built(spark):
+    def watched(column):
+        return F.when(F.col(column).isNull(), F.raise_error(F.lit("run"))).otherwise(F.col(column))
+
+    df = spark.createDataFrame([("a", "x", 1.0), ("b", "y", 2.0), ("c", None, 3.0)], "r string, c string, v double")
+    strict = df.withColumn("c", watched("c"))
+    assert explore.pivot(strict, "r", "c", "v", values=["y", "z"]).columns == ["r", "y", "z"]
+    assert rows(explore.pivot(df, "r", "c", "v", values=["y", "z"])) == [("a", None, None), ("b", 2.0, None)]
+
+
+def test_pivot_and_contains_take_any_column_name(spark):
+    df = spark.createDataFrame([("a", "x.y", 1.0), ("b", "z", 2.0)], "`r.r` string, `c.c` string, `v.v` double")
+    for how in ("sum", "mean", "max"):
+        out = explore.pivot(df, "r.r", "c.c", "v.v", how)
+        assert out.columns == ["r.r", "x.y", "z"]
+        assert sorted(map(tuple, out.collect())) == [("a", 1.0, None), ("b", None, 2.0)]
+    assert [tuple(r) for r in explore.contains(df, "c.c", "X").collect()] == [("a", "x.y", 1.0)]
+
+
+def test_pivot_of_dates_and_of_too_many_values(spark):
+    df = spark.sql("SELECT id % 2 AS r, date_add(DATE '2024-01-01', CAST(id AS INT)) AS d, id AS v FROM range(5)")
+    assert explore.pivot(df, "r", "d", "v").columns == ["r", *(f"2024-01-0{i}" for i in range(1, 6))]
+    spark.conf.set("spark.sql.pivotMaxValues", "4")
+    try:
+        with pytest.raises(ValueError, match="more than 4"):
+            explore.pivot(df, "r", "d", "v")
+    finally:
+        spark.conf.unset("spark.sql.pivotMaxValues")
+
+
 def test_pivot_of_missing_cells(spark):
     df = spark.createDataFrame(
         [("a", "x", 1.0), ("a", "y", None), ("b", "y", None), (None, "x", 5.0), ("b", None, 9.0),

@@ -13,6 +13,7 @@ from weekloom.functions import measures as m
 from weekloom.functions import text
 from weekloom.operators.positions import running_total
 from weekloom.operators.rollup import quoted, require
+from weekloom.sources.tables import staged
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
@@ -100,32 +101,51 @@ def _basics(df: DataFrame, places: Mapping[str, str]) -> DataFrame:
     return wide.select(F.inline(F.array(*places)))
 
 
-def pivot(df: DataFrame, row: str, column: str, value: str, how: str = "sum") -> DataFrame:
+def pivot(
+    df: DataFrame,
+    row: str,
+    column: str,
+    value: str,
+    how: str = "sum",
+    values: Sequence[object] | None = None,
+) -> DataFrame:
     """Table of ``how`` (sum, mean, max or min) of ``value`` by ``row`` and ``column``.
 
     Rows without a key are left out and missing cells are NULL.  A cell holding NULLs only is
     0 for sum; for the others it counts as missing, and a row or column of such cells goes.
     ``row`` and ``column`` may be the same.
+
+    With ``values``, the table has a column for each of them and nothing runs while it is built.
+    Otherwise the columns are those of the data: the cells are computed and stored in one job, and
+    both the names of the columns and the table are read from there.  More columns than
+    ``spark.sql.pivotMaxValues`` (10,000 unless set) are an error, as nobody could read them.
     """
     kind = df.schema[value].dataType
     if how in ("sum", "mean"):
         cell = m.aggregate(m.Measure(how, value), kind)
     elif how in ("max", "min"):
-        cell = getattr(F, how)(value)
+        cell = getattr(F, how)(quoted(value))
     else:
         raise ValueError(f"unknown aggregation {how!r}")
-    cells = (
-        require(df, [row, column])
-        .groupBy(row, F.col(column).alias("_column"))
-        .agg(cell.alias("_cell"))
-        .where(F.col("_cell").isNotNull())
-    )
-    return cells.groupBy(row).pivot("_column").agg(F.max("_cell"))
+    # a key that comes twice is grouped by once
+    keys = [quoted(row).alias("_row"), *([quoted(column).alias("_column")] if column != row else [])]
+    cells = require(df, [row, column]).groupBy(*keys).agg(cell.alias("_cell"))
+    name = F.col("_row" if column == row else "_column").cast("string")
+    cells = cells.where(F.col("_cell").isNotNull()).withColumn("_column", name)
+    if values is None:
+        cells = staged(cells, "cells")
+        most = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues"))
+        found = cells.select("_column").distinct().limit(most + 1).collect()
+        if len(found) > most:
+            raise ValueError(f"{column!r} has more than {most} values, too many for columns")
+        values = sorted(r["_column"] for r in found)
+    table = cells.groupBy("_row").pivot("_column", [str(v) for v in values]).agg(F.max("_cell"))
+    return table.withColumnRenamed("_row", row)
 
 
 def contains(df: DataFrame, column: str, pattern: str) -> DataFrame:
     """Rows whose text matches the pattern, ignoring case; all rows for an empty pattern."""
-    return df.where(text.contains(column, pattern)) if pattern else df
+    return df.where(text.contains(quoted(column), pattern)) if pattern else df
 
 
 def xy_series(df: DataFrame, x: str, y: str) -> DataFrame:

@@ -58,7 +58,8 @@ def top_k_groups(
 def keep_top_k(df: DataFrame, key: str, measure: Measure, k: int = 10) -> DataFrame:
     """All rows whose ``key`` is among the ``k`` keys with the largest ``measure``.
 
-    The semi-join's other side has at most ``k`` rows, so it is sent to every task.
+    The semi-join's other side has at most ``k`` rows, so it is sent to every task.  Both sides
+    read ``df``, which should be a stored table.
     """
     best = top_k_groups(df, key, {"_score": measure}, "_score", k).select(key)
     return df.join(F.broadcast(best), key, "left_semi")

@@ -303,7 +303,8 @@ def share_of_total(
 ) -> DataFrame:
     """The ``k`` best rows with their percentage of the sum over all rows.
 
-    The sum is a scalar subquery, so no row meets it in a join or a one-partition window.
+    The sum is a scalar subquery, so no row meets it in a join or a one-partition window.  Both
+    read ``df``, which should be a stored table.
     """
     whole = df.agg(F.sum(metric)).scalar()
     share = F.try_divide(F.col(metric), whole) * F.lit(100)

@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from weekloom.operators import correlate, explore, forecast, positions
+from weekloom.operators import correlate, explore, forecast, positions, quantiles
 
 COLUMNS = ["a", "b", "c"]
 
@@ -212,3 +212,22 @@ def test_rows_of_one_day_weigh_together(spark):
     a = forecast.forecast(one, "y", 5).orderBy("ds").collect()
     b = forecast.forecast(twice, "y", 5).orderBy("ds").collect()
     assert [r["ds"] for r in a] == [r["ds"] for r in b]
+
+
+def test_quartiles_do_not_depend_on_the_sketch(spark, monkeypatch):
+    """Whatever the sketch says: bounds that miss a place are drawn again."""
+    draw = random.Random(6)
+    rows = [
+        (draw.random(), float(draw.randint(0, 3)), draw.choice([1.0, 1.0, 1.0, draw.random()]), 5.0,
+         draw.choice([None, -draw.random(), 1e300 * draw.random()]), math.inf if i % 9 == 0 else -float(i))
+        for i in range(3000)
+    ]
+    names = list("abcdef")
+    df = spark.createDataFrame(rows, ", ".join(f"{n} double" for n in names))
+    monkeypatch.setattr(quantiles, "SKETCH", 8)  # ranks off by a third of the rows
+    found = {r["variable"]: r for r in explore.describe(df).collect()}
+    pdf = pd.DataFrame(rows, columns=names)
+    for name in names:
+        column = pdf[name].dropna().astype(float).to_numpy()
+        for label, q in explore.QUARTILES.items():
+            assert found[name][label] == pytest.approx(np.quantile(column, q), rel=1e-12), (name, q)

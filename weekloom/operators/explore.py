@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from itertools import product
 
 from pyspark.sql import Column, DataFrame
@@ -11,11 +11,12 @@ from pyspark.sql import types as T
 
 from weekloom.functions import measures as m
 from weekloom.functions import text
-from weekloom.operators.positions import running_total
+from weekloom.operators import quantiles
 from weekloom.operators.rollup import quoted, require
 from weekloom.sources.tables import staged
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+STATISTICS = ("mean", "std", "min", *QUARTILES, "max")
 EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
 
 
@@ -57,48 +58,35 @@ def describe_times(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
 
 
 def _describe(numbers: Sequence[Column], names: Sequence[str], df: DataFrame) -> DataFrame:
-    """Statistics of the columns ``numbers`` of ``df`` under the given names."""
-    places = {f"_{i}": name for i, name in enumerate(names)}
-    df = df.select(*(number.alias(place) for place, number in zip(places, numbers, strict=True)))
-    pairs = (F.struct(F.lit(n).alias("v"), F.col(p).alias("x")) for p, n in places.items())
-    long = df.select(F.explode(F.array(*pairs))).select(F.col("col.v").alias("variable"), F.col("col.x").alias("_x"))
-    counted = long.where(F.col("_x").isNotNull() & ~F.isnan("_x")).groupBy("variable", "_x").agg(
-        F.count(F.lit(1)).alias("_n")
-    )
-    placed = running_total(counted, ["variable"], "_x", "_n", "_before")
-    basics = _basics(df, places)
-    joined = placed.join(F.broadcast(basics.select("variable", "count")), "variable")
-    picks = []
-    for name, q in QUARTILES.items():
-        at = (F.col("count") - 1) * F.lit(q)
-        for side, place in (("lo", F.floor(at)), ("hi", F.ceil(at))):
-            here = (F.col("_before") <= place) & (place < F.col("_before") + F.col("_n"))
-            picks.append(F.max(F.when(here, F.col("_x"))).alias(f"{name}_{side}"))
-    found = joined.groupBy("variable").agg(*picks)
-    out = basics.join(found, "variable", "left")
-    for name, q in QUARTILES.items():
-        at = (F.col("count") - 1) * F.lit(q)
-        low, high = F.col(f"{name}_lo"), F.col(f"{name}_hi")
-        out = out.withColumn(name, low + (high - low) * (at - F.floor(at)))
-    return out.select("variable", "count", "mean", "std", "min", *QUARTILES, "max")
-
-
-def _basics(df: DataFrame, places: Mapping[str, str]) -> DataFrame:
-    """One pass over all columns, then one row for each of them."""
-    wide = df.select(*(F.when(~F.isnan(p), F.col(p)).alias(p) for p in places)).agg(
-        *(
-            F.struct(
-                F.lit(n).alias("variable"),
-                F.count(p).alias("count"),
-                F.avg(p).alias("mean"),
-                F.stddev_samp(p).alias("std"),
-                F.min(p).alias("min"),
-                F.max(p).alias("max"),
-            ).alias(p)
-            for p, n in places.items()
+    """Statistics of the columns ``numbers`` of ``df`` under the given names.
+
+    Two passes run while the result is built and bring a few numbers for each column: the first takes
+    the plain statistics and a quantile sketch, the second counts, and sorts the values around each quartile
+    only.  Nothing is stored; a table that is costly to compute should be stored first.
+    """
+    qs = list(QUARTILES.values())
+    spark = df.sparkSession
+    places = dict(enumerate(names))
+    schema = "variable string, count long, " + ", ".join(f"{c} double" for c in STATISTICS)
+    rows = []
+    if places:
+        cells = (F.struct(F.lit(i).alias("place"), x.alias("x")) for i, x in enumerate(numbers))
+        values = df.select(F.inline(F.array(*cells))).where(F.col("x").isNotNull() & ~F.isnan("x"))
+        stats = values.groupBy("place").agg(
+            F.count("x").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"),
+            F.min("x").alias("min"), F.max("x").alias("max"), quantiles.around("x", qs).alias("cuts"),
         )
-    )
-    return wide.select(F.inline(F.array(*places)))
+        found = {r["place"]: r for r in stats.collect()}
+        counts = {place: r["count"] for place, r in found.items()}
+        exact = quantiles.quantiles(values, qs, counts, {p: r["cuts"] for p, r in found.items()})
+        for place, name in places.items():
+            r = found.get(place)
+            if r is None:
+                rows.append((name, 0, *[None] * len(STATISTICS)))
+            else:
+                quartiles = (exact[place, q] for q in qs)
+                rows.append((name, r["count"], r["mean"], r["std"], r["min"], *quartiles, r["max"]))
+    return spark.createDataFrame(rows, schema)
 
 
 def pivot(

@@ -7,6 +7,7 @@ import random
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 
 from weekloom.operators import correlate, explore, forecast, positions, quantiles
@@ -88,6 +89,47 @@ def test_correlation_of_constant_and_empty_columns(spark):
         assert found["c", "c"] is None
 
 
+def test_complete_columns_are_ranked_once(spark, monkeypatch):
+    """Only pairs in which a value is missing get ranks of their own."""
+    asked = []
+    own = correlate._ranks_of_pairs
+    monkeypatch.setattr(correlate, "_ranks_of_pairs", lambda df, pairs: asked.append(pairs) or own(df, pairs))
+    data = [(float(i % 7), float(i * i % 11), None if i == 3 else float(i)) for i in range(50)]
+    df = spark.createDataFrame(data, "a double, b double, c double")
+    expected = pd.DataFrame(data, columns=COLUMNS).astype(float)
+    found = as_dict(correlate.corr(df, COLUMNS, "spearman"))
+    assert [len(pairs) for pairs in asked] == [3]
+    for a, b in itertools.combinations(COLUMNS, 2):
+        both = expected[[a, b]].dropna()
+        assert found[a, b] == pytest.approx(both[a].rank().corr(both[b].rank()), abs=1e-12)
+    asked.clear()
+    correlate.corr(df, ["a", "b"], "spearman")
+    assert asked == []
+
+
+@pytest.mark.parametrize("apart", [False, True])
+def test_inversions_of_one_range(apart):
+    draw = random.Random(4)
+    for size in (1, 2, 3, 17, 200):
+        points = sorted({(float(draw.randint(0, 12)), float(draw.randint(0, 12))) for _ in range(size)})
+        draw.shuffle(points)
+        n = [draw.choice([1, 2, 10**9]) for _ in points]
+        # ranges in the order of x, as cutting gives them
+        place = [int(x) // 3 for x, _ in points]
+        table = pa.table({
+            "a": ["a"] * len(n), "b": ["b"] * len(n), "x": [p[0] for p in points],
+            "y": [p[1] for p in points], "n": n, "range": place,
+        })
+        found = correlate._inversions("x", "y", "range" if apart else None)(table)
+        expected = sum(
+            n[i] * n[j]
+            for i, j in itertools.combinations(range(len(n)), 2)
+            if (points[i][0] - points[j][0]) * (points[i][1] - points[j][1]) < 0
+            and (not apart or place[i] != place[j])
+        )
+        assert found.to_pylist() == [{"a": "a", "b": "b", "dis": expected}]
+
+
 def test_unknown_method(frame):
     with pytest.raises(ValueError, match="method"):
         correlate.corr(frame, COLUMNS, "cosine")

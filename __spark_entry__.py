@@ -453,13 +453,14 @@ def queries() -> dict[str, Query]:
         OVERALL, lambda d: forecast.forecast_trend(d, "Total_Profit", 30), 2
     )
     found["forecast_additive"] = _on(
-        OVERALL, lambda d: forecast.forecast(d, "Total_Profit", 30)
+        OVERALL, lambda d: forecast.forecast(d, "Total_Profit", 30), 1
     )
     found["forecast_components"] = _on(
         "website_category_analysis",
         lambda d: forecast.forecast(
             d, "Total_Profit", 30, series=["majorcategory"], components=True
         ),
+        1,
     )
     # reports over a range of weeks
     for name in RANGED:
@@ -473,7 +474,7 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """Query name to DuckDB SQL; the additive forecasts have none."""
+    """Query name to DuckDB SQL."""
     found = {name: oracle.statement(name) for name in queries() if name in oracle.STATEMENTS}
     if llm:
         found |= llm.SQL

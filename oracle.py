@@ -863,6 +863,93 @@ FROM (SELECT grid.ds, s, my + b * (epoch(CAST(grid.ds AS TIMESTAMP)) / 86400 - m
 }
 
 
+# -- additive forecasts -------------------------------------------------------------------
+
+
+def additive(view: str, y: str, horizon: int, key: str | None, digits: int) -> str:
+    """The additive forecast as normal equations, solved by elimination in a recursive query.
+
+    Columns of the design: 1, the time from 0 to 1, 25 bends, 10 yearly and 3 weekly waves as sine and
+    cosine.  Columns a series doesn't use are 0, and the penalty on them keeps them out of the solution.
+    """
+    series = key or "'all'"
+    size = 2 + 25 + 2 * 10 + 2 * 3
+    tau = "2 * pi()"
+    waves = lambda n, days, use: f"""flatten(list_transform(range(1, {n + 1}), lambda k:
+      [CASE WHEN {use} THEN sin({tau} * k * day / {days}) ELSE 0 END,
+       CASE WHEN {use} THEN cos({tau} * k * day / {days}) ELSE 0 END]))"""
+    part = lambda first, last: f"""scale * list_sum(list_transform(list_zip(x[{first}:{last}], beta[{first}:{last}]),
+      lambda z: z[1] * z[2]))"""
+    design = lambda table: f"""SELECT {table}.*, scale, bends, greatest(t - 1, 0) AS ahead,
+      list_concat(list_concat([1.0, t], list_transform(range(1, 26), lambda j:
+        CASE WHEN j <= bends THEN greatest(t - 0.8 * j / bends, 0) ELSE 0 END)),
+        list_concat({waves(10, 365.25, "yearly")}, {waves(3, 7.0, "weekly")})) AS x
+    FROM (SELECT {table}.*, (day - first_day) / span AS t FROM {table} JOIN facts USING (series)) {table}
+    JOIN facts USING (series)"""
+    shown = [f"{key}, " if key else "", "ds"]
+    numbers = ["yhat", "yhat_lower", "yhat_upper", *(["trend", "yearly", "weekly"] if key else [])]
+    return f"""WITH RECURSIVE days AS (
+  SELECT {series} AS series, CAST(epoch(CAST("Week" AS TIMESTAMP)) / 86400 AS BIGINT) AS day, COUNT(*) AS n,
+    AVG(CAST({y} AS DOUBLE)) AS mean, SUM(CAST({y} AS DOUBLE) * {y}) AS squares
+  FROM {view} WHERE "Week" IS NOT NULL AND {y} IS NOT NULL GROUP BY ALL
+), gaps AS (SELECT *, day - lag(day) OVER (PARTITION BY series ORDER BY day) AS gap FROM days
+), facts AS (
+  SELECT *, span >= 2 * 365.25 AS yearly, spacing < 7 AND span >= 14 AS weekly FROM (
+    SELECT series, MIN(day) AS first_day, MAX(day) AS last_day, greatest(MAX(day) - MIN(day), 1) AS span,
+      CASE WHEN MAX(abs(mean)) > 0 THEN MAX(abs(mean)) ELSE 1 END AS scale, coalesce(MIN(gap), 7) AS spacing,
+      least(25, greatest(CAST(floor(COUNT(*) * 0.8) AS BIGINT) - 1, 0)) AS bends FROM gaps GROUP BY series)
+), known AS (
+  SELECT *, mean / scale AS target FROM ({design("days")})
+), line AS (
+  SELECT series, b, my - b * mt AS a FROM (
+    SELECT series, SUM(n * target) / SUM(n) AS my, SUM(n * x[2]) / SUM(n) AS mt,
+      (SUM(n * x[2] * target) - SUM(n * x[2]) * SUM(n * target) / SUM(n))
+      / (SUM(n * x[2] * x[2]) - SUM(n * x[2]) * SUM(n * x[2]) / SUM(n)) AS b FROM known GROUP BY series)
+), noise AS (
+  SELECT series, greatest(SUM(n * (target - a - b * x[2]) ** 2) / SUM(n), 1e-9) AS noise
+  FROM known JOIN line USING (series) GROUP BY series
+), cells AS (
+  SELECT series, i, j, SUM(n * x[i] * CASE WHEN j <= {size} THEN x[j] ELSE target END) AS v
+  FROM known, range(1, {size + 1}) r(i), range(1, {size + 2}) c(j) GROUP BY series, i, j
+), system AS (
+  SELECT series, i, list(v + CASE WHEN i <> j OR i <= 2 THEN 0 WHEN i <= 27 THEN noise / 0.0025
+    ELSE noise / 100 END ORDER BY j) AS line FROM cells JOIN noise USING (series) GROUP BY series, i
+), solving AS (
+  SELECT 1 AS k, series, i, line FROM system
+  UNION ALL
+  SELECT k + 1, series, i, CASE WHEN i = k THEN list_transform(line, lambda v: v / line[k])
+    ELSE list_transform(list_zip(line, chosen), lambda z: z[1] - line[k] / chosen[k] * z[2]) END
+  FROM (SELECT *, MAX(CASE WHEN i = k THEN line END) OVER (PARTITION BY series) AS chosen FROM solving WHERE k <= {size})
+), solved AS (
+  SELECT series, list(line[{size + 1}] ORDER BY i) AS beta FROM solving WHERE k = {size + 1} GROUP BY series
+), spread AS (
+  SELECT series, SUM(n * (target - list_sum(list_transform(list_zip(x, beta), lambda z: z[1] * z[2]))) ** 2
+      + greatest(squares - n * mean * mean, 0) / scale ** 2) / SUM(n) AS sigma2,
+    CASE WHEN any_value(bends) = 0 THEN 0 ELSE list_sum(list_transform(any_value(beta)[3:27], lambda v: abs(v)))
+      / any_value(bends) END AS bend
+  FROM known JOIN solved USING (series) GROUP BY series
+), grid AS (
+  SELECT series, day FROM days
+  UNION ALL SELECT series, last_day + i FROM facts, range(1, {horizon + 1}) r(i)
+), parts AS (
+  SELECT series AS {key or "_series"}, CAST(to_timestamp(day * 86400) AT TIME ZONE 'UTC' AS DATE) AS ds,
+    {part(1, 27)} AS trend, {part(28, 47)} AS yearly, {part(48, size)} AS weekly,
+    1.2815515655446004 * scale * sqrt(sigma2 + 2 * bends * bend ** 2 * ahead ** 3 / 3) AS half
+  FROM ({design("grid")}) JOIN solved USING (series) JOIN spread USING (series)
+)
+SELECT {"".join(shown)}, {", ".join(f"ROUND({n}, {digits}) + 0.0 AS {n}" for n in numbers)}
+FROM (SELECT *, trend + yearly + weekly AS yhat, yhat - half AS yhat_lower, yhat + half AS yhat_upper FROM parts)"""
+
+
+FORECAST_DIGITS = 1
+STATEMENTS |= {
+    "forecast_additive": additive("website_weekly_overall", "Total_Profit", 30, None, FORECAST_DIGITS),
+    "forecast_components": additive(
+        "website_category_analysis", "Total_Profit", 30, "majorcategory", FORECAST_DIGITS
+    ),
+}
+
+
 # -- reports over a range of weeks ---------------------------------------------------------
 
 for _table in (*WEEKLY, "pricing_weeks"):
@@ -916,6 +1003,7 @@ def _with_views(body: str) -> str:
         return body
     views = ",\n".join(f"{name} AS ({VIEWS[name]})" for name in needed)
     body = body.strip()
-    if body.startswith("WITH "):
-        return f"WITH {views},\n{body.removeprefix('WITH ')}"
+    for start in ("WITH RECURSIVE ", "WITH "):
+        if body.startswith(start):
+            return f"{start}{views},\n{body.removeprefix(start)}"
     return f"WITH {views}\n{body}"

@@ -10,7 +10,7 @@ from weekloom.functions import measures as m
 from weekloom.operators import ads, explore, report, uplift
 from weekloom.operators import weeks as wk
 from weekloom.operators.rank import keep_top_k, top_n_per_group
-from weekloom.operators.rollup import rollup
+from weekloom.operators.rollup import rollup, rollup_late
 from weekloom.plans import prepare
 from weekloom.plans.tables import Range, Tables
 from weekloom.sources.schemas import SCHEMAS, check_columns, schema_of
@@ -91,6 +91,22 @@ def test_rollup_does_not_depend_on_partitions(spark):
         rollup(df.repartition(13), ["k"], pack))
 
 
+def test_keys_made_after_the_first_grouping(spark):
+    """The same groups as with keys made first, NULL keys, sums over NULLs and flags included."""
+    data = [(i % 3, [None, "a.x", "b.x", "b.y", "!"][i % 5], i if i % 4 else None, i % 2 == 0) for i in range(60)]
+    df = spark.createDataFrame(data, "k int, raw string, v int, f boolean")
+    df = df.withColumn("d", F.expr("CAST(v AS DECIMAL(18,4)) / 7"))
+    made = lambda c: F.when(F.col(c) != "!", F.split_part(c, F.lit("."), F.lit(1)))
+    pack = {"v": m.total("v"), "d": m.total("d"), "f": m.total("f"), "n": m.count("v")}
+    for nullable in ([], ["label"]):
+        late = rollup_late(df, ["k", "label"], {"label": ("raw", made)}, pack, {"r": m.Ratio("d", "n")}, nullable)
+        first = rollup(df.withColumn("label", made("raw")), ["k", "label"], pack, {"r": m.Ratio("d", "n")}, nullable)
+        assert late.dtypes == first.dtypes
+        assert sorted(late.collect(), key=str) == sorted(first.collect(), key=str)
+    with pytest.raises(ValueError, match="add up"):
+        rollup_late(df, ["k"], {}, {"x": m.distinct("v")})
+
+
 # -- rankings ----------------------------------------------------------------------------
 
 

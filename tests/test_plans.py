@@ -57,6 +57,17 @@ def test_scans_read_only_what_a_table_needs(tables):
     assert "customer.parquet" in plan(tables["website_geo_source_analysis"])
 
 
+@pytest.mark.parametrize("name", ["website_websource_analysis", "website_geo_source_analysis"])
+def test_rules_run_on_groups(tables, name):
+    """The chain of labels stands in a projection above the first grouping, not below it."""
+    text = tables[name]._jdf.queryExecution().optimizedPlan().toString()
+    lines = text.splitlines()
+    rules = [i for i, line in enumerate(lines) if "sendinblue" in line]
+    groups = [i for i, line in enumerate(lines) if "Aggregate" in line]
+    assert len(groups) == 2 and rules
+    assert groups[0] <= min(rules) and max(rules) < groups[1]
+
+
 def test_sums_of_purchases_are_shuffled_for_the_join(spark):
     """Both sides of a join have to come from a shuffle for a busy key to be split."""
     insights = spark.createDataFrame([], schema_of("facebook_ads_insights"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -66,3 +66,45 @@ def _filled(measure: Measure, dtype: T.DataType, name: str) -> Column:
         return quoted(name)
     whole = isinstance(dtype, T.IntegralType | T.BooleanType)
     return F.coalesce(quoted(name), F.lit(0)).cast("bigint" if whole else "double")
+
+
+def rollup_late(
+    df: DataFrame,
+    keys: Sequence[str],
+    late: Mapping[str, tuple[str, Callable[[str], Column]]],
+    measures: Mapping[str, Measure],
+    derived: Mapping[str, Ratio | Difference] | None = None,
+    nullable: Sequence[str] = (),
+) -> DataFrame:
+    """As :func:`rollup`, for keys that are costly to compute from a column of few values.
+
+    ``late`` gives for such a key the column of ``df`` it is made from and how.  Rows are grouped by that column
+    first, the key is made once for each group, and the groups are summed up again.  Measures are sums and
+    counts of columns that are not floating-point, so that partial sums lose nothing.
+    """
+    types = {field.name: field.dataType for field in df.schema.fields}
+    for m in measures.values():
+        if m.how not in ("sum", "count") or (m.how == "sum" and exactly.is_double(types[m.column])):
+            raise ValueError(f"{m.how} of {m.column!r} does not add up from partial results")
+    ready = [key for key in keys if key not in late]
+    early = [late[key][0] if key in late else key for key in keys]
+    kept = require(df, [key for key in ready if key not in nullable])
+    parts = []
+    for name, m in measures.items():
+        whole = isinstance(types[m.column], T.BooleanType)
+        column = quoted(m.column).cast("int") if whole and m.how == "sum" else quoted(m.column)
+        parts.append((F.sum if m.how == "sum" else F.count)(column).alias(name))
+    once = kept.groupBy(*early).agg(*parts)
+    made = [late[key][1](late[key][0]).alias(key) if key in late else quoted(key) for key in keys]
+    groups = once.select(*made, *map(quoted, measures))
+    groups = require(groups, [key for key in late if key not in nullable])
+    added = groups.groupBy(*keys).agg(*(F.sum(quoted(name)).alias(name) for name in measures))
+    out = added.select(
+        *keys,
+        *(
+            (F.coalesce(quoted(name), F.lit(0)).cast("bigint") if m.how == "count"
+             else _filled(m, types[m.column], name)).alias(name)
+            for name, m in measures.items()
+        ),
+    )
+    return with_derived(out, derived or {})

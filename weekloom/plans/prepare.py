@@ -16,6 +16,7 @@ from weekloom.sources.tables import Source
 SALES_INPUTS = {
     "order_ts": ("orderdate",),
     "Week": ("orderdate",),
+    "_source": ("websource",),
     "cleaned_websource": ("websource",),
     "promo_clean": ("promotion", "promotionid"),
     "strategy_base": ("pricingstrategy",),
@@ -23,6 +24,10 @@ SALES_INPUTS = {
 }
 
 
+#: Keys that take a chain of rules, the cheaper column they are made from, and the rules.
+LATE = {"cleaned_websource": ("_source", text.label_source)}
+
+
 def website_sales(source: Source, columns: Iterable[str]) -> DataFrame:
     """Orders with their week, unified traffic source, campaign and promotion."""
     wanted = list(dict.fromkeys(columns))

@@ -13,9 +13,10 @@ from weekloom.functions.dates import week_label
 from weekloom.functions.text import NO_PROMOTION
 from weekloom.operators import uplift
 from weekloom.operators.rank import top_n_per_group
-from weekloom.operators.rollup import rollup
+from weekloom.operators.exact import is_double
+from weekloom.operators.rollup import rollup, rollup_late
 from weekloom.operators.weeks import normalise_week
-from weekloom.plans.prepare import PREPARED
+from weekloom.plans.prepare import LATE, PREPARED
 from weekloom.sources.tables import Source
 
 
@@ -30,11 +31,21 @@ class Rollup:
     nullable: tuple[str, ...] = ()
     hidden: tuple[str, ...] = ()
     label_week: bool = False
+    #: Whether rules for keys run on groups instead of rows, where the rows are not cleaned already.
+    late: bool = False
 
     def columns(self) -> list[str]:
         return [*self.keys, *(measure.column for measure in self.measures.values())]
 
     def build(self, tables: Tables) -> DataFrame:
+        late = {key: LATE[key] for key in self.keys if key in LATE} if self.late else {}
+        if late and not tables.is_staged(self.source):
+            columns = [late[c][0] if c in late else c for c in self.columns()]
+            rows = tables.prepared(self.source, columns)
+            if not any(is_double(rows.schema[m.column].dataType) for m in self.measures.values()):
+                return rollup_late(
+                    rows, self.keys, late, self.measures, self.derived, self.nullable
+                ).drop(*self.hidden)
         rows = tables.prepared(self.source, self.columns())
         out = rollup(rows, self.keys, self.measures, self.derived, self.nullable, exact=True)
         if self.label_week:
@@ -141,6 +152,7 @@ TABLES: dict[str, Rollup | Top | Same | Step] = {
         "website_sales",
         ("Week", "country", "orderdestinationtype", "cleaned_websource", "medium"),
         {"Total_Revenue": m.total("novusd"), "Order_Count": m.count("marketordernumber")},
+        late=True,
     ),
     "website_websource_analysis": Rollup(
         "website_sales",
@@ -154,6 +166,7 @@ TABLES: dict[str, Rollup | Top | Same | Step] = {
             "AOV": m.Ratio("Total_Revenue", "Order_Count"),
             "Profit_Margin": m.percent("Total_Total", "Total_Revenue"),
         },
+        late=True,
     ),
     "promotion_strategy_segments": Rollup(
         "website_sales",
@@ -319,6 +332,9 @@ class Tables:
         self._staged = dict(staged or {})
         self._written = dict(written or {})
 
+    def is_staged(self, source: str) -> bool:
+        return source in self._staged
+
     def prepared(self, source: str, columns: list[str]) -> DataFrame:
         if source in self._staged:
             return self._staged[source].select(*dict.fromkeys(columns))

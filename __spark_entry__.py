@@ -17,7 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import oracle  # noqa: E402
 from weekloom.functions import dates, text  # noqa: E402
 from weekloom.functions import measures as m  # noqa: E402
-from weekloom.operators import ads, correlate, explore, forecast, report, uplift  # noqa: E402
+from weekloom.operators import ads, correlate, distinct, explore, forecast, report, uplift  # noqa: E402
 from weekloom.operators import weeks as wk  # noqa: E402
 from weekloom.operators.rank import keep_top_k  # noqa: E402
 from weekloom.operators.rollup import rollup  # noqa: E402
@@ -103,8 +103,15 @@ def _stored(spark: SparkSession, sf_dir: str) -> StoredTables:
     if at not in _LAYERS:
         _LAYERS[at] = Layer(spark, fresh_folder(spark, "weekly"))
     stamp = stamp_of(spark, [sf_dir])
-    made = Tables(retail_source(spark, sf_dir))
-    return StoredTables(_LAYERS[at], made.__getitem__, stamp, DATASETS | ALIASES)
+    source = retail_source(spark, sf_dir)
+
+    def make(name: str) -> DataFrame:
+        if name == ORDER_BITMAPS:
+            column = "marketordernumber"
+            return distinct.weekly_bitmaps(prepare.affiliate_sales(source, [column]), column)
+        return Tables(source)[name]
+
+    return StoredTables(_LAYERS[at], make, stamp, DATASETS | ALIASES)
 
 
 def _between(first: str, last: str) -> Callable[[StoredTables], StoredRange]:
@@ -193,6 +200,7 @@ def _week_column(name: str, **options) -> Query:
 
 
 OVERALL = "website_weekly_overall"
+ORDER_BITMAPS = "affiliate_order_bitmaps"
 #: Columns compared with each other, the first numeric ones of the table.
 MEASURED = ("Total_Revenue", "Total_Profit", "Order_Count", "Total_Shipping", "Total_Discount")
 CARDS = (
@@ -341,6 +349,10 @@ def queries() -> dict[str, Query]:
             {"orders": m.distinct("marketordernumber")},
         )
     )
+    for preset in wk.PRESETS:
+        found[f"affiliate_distinct_orders_{preset.lower().replace(' ', '_')}"] = _on(
+            ORDER_BITMAPS, lambda d: distinct.distinct_count(d, "orders"), cut=_last(preset)
+        )
     found["profit_by_platform"] = _with(
         lambda t: report.profit_by_platform(
             t["bing_ads_weekly_overall"],

@@ -863,6 +863,14 @@ FROM (SELECT grid.ds, s, my + b * (epoch(CAST(grid.ds AS TIMESTAMP)) / 86400 - m
 }
 
 
+# -- distinct orders over a range ----------------------------------------------------------
+
+for _preset, _days in (("7_days", 7), ("28_days", 28), ("90_days", 90), ("365_days", 365), (None, None)):
+    _name = f"last_{_preset}" if _preset else "lifetime"
+    STATEMENTS[f"affiliate_distinct_orders_{_name}"] = f"""
+SELECT COUNT(DISTINCT marketordernumber) AS orders FROM ({since("affiliate_clean", _days)})"""
+
+
 # -- additive forecasts -------------------------------------------------------------------
 
 

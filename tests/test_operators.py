@@ -2,12 +2,13 @@
 
 import datetime as dt
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from weekloom.functions import measures as m
-from weekloom.operators import ads, explore, report, uplift
+from weekloom.operators import ads, distinct, explore, report, uplift
 from weekloom.operators import weeks as wk
 from weekloom.operators.rank import keep_top_k, top_n_per_group
 from weekloom.operators.rollup import rollup, rollup_late
@@ -107,6 +108,21 @@ def test_keys_made_after_the_first_grouping(spark):
         rollup_late(df, ["k"], {}, {"x": m.distinct("v")})
 
 
+def test_distinct_numbers_of_any_weeks(spark):
+    """Bitmaps of single weeks give the count over any of them; numbers of every size and sign."""
+    pick = random.Random(2)
+    numbers = [0, 1, -1, -32768, 32767, 32768, 32769, 10**12, -(10**12), *range(40)]
+    data = [(dt.date(2024, 1, 1) + dt.timedelta(7 * pick.randint(0, 4)), pick.choice([*numbers, None])) for _ in range(400)]
+    data.append((None, 77))
+    stored = distinct.weekly_bitmaps(spark.createDataFrame(data, "Week date, o long"), "o")
+    for first in range(5):
+        for last in range(first - 1, 5):
+            weeks = {dt.date(2024, 1, 1) + dt.timedelta(7 * w) for w in range(first, last + 1)}
+            cut = stored.where(F.col("Week").isin(*weeks)) if weeks else stored.where("false")
+            expected = len({o for w, o in data if w in weeks and o is not None})
+            assert [tuple(r) for r in distinct.distinct_count(cut, "orders").collect()] == [(expected,)]
+
+
 # -- rankings ----------------------------------------------------------------------------
 
 

@@ -67,13 +67,34 @@ def test_rules_run_on_groups(tables, name):
     assert "Contains" in results
 
 
-def test_sums_of_purchases_are_shuffled_for_the_join(spark):
-    """Both sides of a join have to come from a shuffle for a busy key to be split."""
-    insights = spark.createDataFrame([], schema_of("facebook_ads_insights"))
-    actions = spark.createDataFrame([], schema_of("facebook_ads_actions"))
-    with_hints = (insights.hint("merge"), actions)
-    text = plan(ads.join_ad_actions(*with_hints, fanout=False))
-    assert len(re.findall(r"^\(\d+\) Exchange", text, re.M)) == 3
+@pytest.mark.parametrize("fanout", [False, True])
+def test_a_busy_ad_day_is_shared_by_tasks(spark, fanout):
+    """One ad-day with half the insights, and all rows without ids: no task joins much of them."""
+    insights = spark.sql(
+        """SELECT CASE WHEN id % 2 = 0 THEN '2024-01-01' ELSE concat('d', id) END AS date,
+        CASE WHEN id % 2 = 1 THEN CAST(id AS STRING) END AS campaign_id, CAST(NULL AS STRING) AS adset_id, 'x' AS ad_id,
+        'c' AS campaign_name, CAST(id AS DECIMAL(18,4)) AS spend, id AS impressions, id AS clicks FROM range(4000)""")
+    actions = spark.sql(
+        """SELECT CASE WHEN id < 5 THEN '2024-01-01' ELSE concat('d', id) END AS date,
+        CASE WHEN id >= 5 THEN CAST(id AS STRING) END AS campaign_id, CAST(NULL AS STRING) AS adset_id, 'x' AS ad_id,
+        'purchase' AS action_type, CAST(id AS DECIMAL(18,4)) AS value FROM range(50)""")
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "40",
+                "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        out = ads.join_ad_actions(insights, actions, fanout=fanout)
+        assert "concat(date" not in plan(out)
+        tasks = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        found = out.groupBy("date").agg(F.count("*").alias("n"), F.sum("value").alias("v")).collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert max(tasks) < 0.1 * sum(tasks)
+    assert sum(tasks) == (12_000 if fanout else 4_000)
+    (busy,) = [r for r in found if r["date"] == "2024-01-01"]
+    assert (busy["n"], int(busy["v"])) == ((10_000, 20_000) if fanout else (2_000, 20_000))
 
 
 def test_website_columns_match_the_schema():

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from weekloom.functions.measures import count, total
 from weekloom.operators.exact import grouped
+from weekloom.operators.rollup import quoted
 
 # The action types that count as a purchase.
 PURCHASE_ACTIONS = (
@@ -20,6 +21,8 @@ PURCHASE_ACTIONS = (
     "web_in_store_purchase",
 )
 AD_DAY = ("date", "campaign_id", "adset_id", "ad_id")
+#: One in so many rows is what a task may get of one ad-day.
+SHARE = 1_000
 
 
 def purchase_actions(
@@ -53,19 +56,33 @@ def join_ad_actions(
 
     With ``fanout`` an insight with several purchases gives one row for each, so that its
     spend repeats.  Otherwise purchases are summed first and every insight stays one row.
+
+    An ad-day that holds more than two in SHARE of all insights, of which there are less than SHARE, is
+    cut into parts of at most one in SHARE by a hash of the row, and its purchases go to each part.
     """
     right = _keyed(purchase_actions(actions, types))
     if fanout:
         right = right.select(*AD_DAY, "action_type", "value")
     else:
         right = grouped(right, AD_DAY, {"value": total("value")})
-        # Joined as they lie, the sums would pin each ad-day to one task.  A key computed anew
-        # makes Spark shuffle them, and adaptive execution may then split a busy ad-day.
-        right = right.withColumn("date", F.concat("date", F.lit("")))
-    joined = _keyed(insights).join(right, list(AD_DAY), "left")
+    left = _keyed(insights)
+    busy = F.broadcast(_busy(left))
+    spot = F.pmod(F.xxhash64(*map(quoted, insights.columns)), F.coalesce("_parts", F.lit(1))).cast("int")
+    left = left.join(busy, list(AD_DAY), "left").withColumn("_part", spot).drop("_parts")
+    every = F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)
+    right = right.join(busy, list(AD_DAY), "left").withColumn("_part", F.explode(every)).drop("_parts")
+    joined = left.join(right, [*AD_DAY, "_part"], "left").drop("_part")
     return joined.withColumn("ROI", row_roi("value", "spend"))
 
 
+def _busy(rows: DataFrame, share: int = SHARE) -> DataFrame:
+    """Ad-days with at least two in ``share`` of all rows, fewer than ``share``, and how many parts to cut them into."""
+    whole = rows.agg(F.count(F.lit(1))).scalar()
+    counts = rows.groupBy(*AD_DAY).agg((F.count(F.lit(1)) * share).alias("_n"))
+    parts = F.ceil(F.col("_n") / whole).cast("int").alias("_parts")
+    return counts.where(F.col("_n") >= 2 * whole).select(*AD_DAY, parts)
+
+
 def ad_day_totals(
     insights: DataFrame,
     actions: DataFrame,

@@ -105,6 +105,31 @@ def test_fewer_candidates_than_neighbours(spark):
     assert vptree.nearest_neighbours(empty, empty).count() == 0
 
 
+def test_components_of_any_size_have_neighbours(spark):
+    """Squares that overflow or vanish, vectors of other lengths, and distances beyond the doubles."""
+    rows = [(0, [1e200, 1.0]), (1, [1e200, 2e200]), (2, [3e200, 0.0]), (3, [1e-200, 0.0]), (4, [3e-200, 0.0]),
+            (5, [1.5e308, 1.5e308]), (6, [-1.5e308, -1.5e308]), (7, [1.0, 2.0, 4.0]), (8, [1.0, 2.0, 3.0]), (9, [2.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = {}
+    for r in sorted(vptree.nearest_neighbours(frame, frame, 10, shard_rows=3).collect(), key=lambda r: r["rank"]):
+        found.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    exact = dict(rows)
+    for q, v in exact.items():
+        want = sorted((math.dist(v, w), i) for i, w in exact.items() if i != q and len(w) == len(v))
+        got = found.get(q, [])
+        assert [i for i, _ in got] == [i for _, i in want]
+        assert [s for _, s in got] == pytest.approx([d for d, _ in want], rel=1e-12)
+    assert 9 not in found and found[5][-1] == (6, math.inf)
+
+
+def test_links_of_components_of_any_size(spark):
+    rows = [(0, [1e200, 1.0], 1), (1, [1e200, 1.0001], 1), (2, [1e-200, 1e-200], 1), (3, [2e-200, 2e-200], 1),
+            (4, [5e-324, 5e-324], 1), (5, [1.7e308, 1.7e308], 1), (6, [1.0, 1.0, 0.0], 1), (7, [1.0, 1.0, 0.01], 1), (8, [1.0], 1)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    found = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in hnsw.near_duplicate_vectors(frame).collect()}
+    assert found == {0: (1, 0), 1: (1, 0), 2: (3, 2), 3: (3, 2), 4: (3, 2), 5: (3, 2), 6: (1, 6), 7: (1, 6), 8: (0, 8)}
+
+
 def test_pruning_skips_and_bounds_hold():
     points = cloud(3, 3000).astype(float)
     ids = np.arange(len(points))

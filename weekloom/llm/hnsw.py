@@ -244,8 +244,19 @@ class Graph:
             beams = False
         return np.concatenate(rows), np.concatenate(hits)
 
+
+def evened(vectors: np.ndarray) -> np.ndarray:
+    """Rows times a power of two each, so that the largest component is from 0.5 to 1.
+
+    Nothing is rounded but components too small to count, and no product overflows or vanishes.
+    """
+    _, power = np.frexp(np.abs(vectors).max(axis=1, initial=0.0))
+    return np.ldexp(vectors, -power[:, None])
+
+
 def exact_cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Cosines of rows in double precision, summed in the order of the components."""
+    a, b = evened(a), evened(b)
     dot, aa, bb = np.zeros(len(a)), np.zeros(len(a)), np.zeros(len(a))
     for j in range(a.shape[1]):
         dot += a[:, j] * b[:, j]
@@ -279,6 +290,7 @@ def _unpacked(rows: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
+    vectors = evened(vectors)
     return (vectors / np.linalg.norm(vectors, axis=1, keepdims=True)).astype(np.float32)
 
 
@@ -297,26 +309,30 @@ def shard_links(
     one shard linked to a; otherwise a and b are connected by links of one visit.  So a group
     of many near copies leaves a row for each of them, not for each pair.
     """
-    sizes = classes.groupBy("label").agg(F.count(F.lit(1)).alias("rows"))
+    classes = classes.withColumn("dim", F.size("embedding"))
+    sizes = classes.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("rows"))
     sizes = sizes.select(
-        F.col("label"),
+        "label",
+        "dim",
         F.ceil(F.col("rows") / F.lit(shard_rows)).cast("int").alias("shards"),
         F.ceil(F.col("rows") / F.lit(block_rows)).cast("int").alias("blocks"),
     )
-    dealt = classes.join(sizes, "label")
+    dealt = classes.join(sizes, ["label", "dim"])
     place = lambda n: F.pmod(F.xxhash64("vec_id"), F.col(n)).cast("int")
     packed = F.sort_array(F.collect_list(F.struct("vec_id", "embedding", "copies")))
     # one row holds a shard or a block of bounded size
-    index = dealt.groupBy("label", place("shards").alias("shard")).agg(packed.alias("points"))
-    blocks = dealt.groupBy("label", "shards", place("blocks").alias("block")).agg(packed.alias("asked"))
+    index = dealt.groupBy("label", "dim", place("shards").alias("shard")).agg(packed.alias("points"))
+    blocks = dealt.groupBy("label", "dim", "shards", place("blocks").alias("block"))
+    blocks = blocks.agg(packed.alias("asked"))
     visits = blocks.withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
-    pairs = visits.join(index, ["label", "shard"]).select("label", "shard", "points", "asked")
+    pairs = visits.join(index, ["label", "dim", "shard"])
+    pairs = pairs.select("label", "dim", "shard", "points", "asked")
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, graph = None, None
         for batch in batches:
             for i in range(batch.num_rows):
-                now = batch.column("label")[i].as_py(), batch.column("shard")[i].as_py()
+                now = tuple(batch.column(c)[i].as_py() for c in ("label", "dim", "shard"))
                 if now != key:
                     key = now
                     ids, points, copies = _unpacked(batch.column("points")[i].values)
@@ -351,7 +367,9 @@ def shard_links(
 def near_duplicate_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``vec_id``, ``n_links``, ``component_id``, ``kept`` for every row of ``vectors``.
 
-    Rows are linked where labels are equal and not null and the cosine is ``threshold`` or more.
+    Rows are linked where labels are equal and not null and the cosine is ``threshold`` or more;
+    vectors of different lengths have none.  Vectors are scaled before they are multiplied, so finite
+    components of any size count.
     Equal vectors of one label are one class, of which only the smallest ``vec_id`` searches;
     its links count for each copy.  Unusable vectors and those without label have no link and
     are components of their own.  Rows without ``vec_id`` are left out; rows that repeat an id

@@ -17,6 +17,10 @@ from weekloom.llm.storage import stored
 #: Vectors of a shard, and queries of a block, on average.
 SHARD_ROWS, BLOCK_ROWS = 4_096, 512
 LEAF_ROWS = 128
+#: Stands for a neighbour not found.
+NOBODY = np.iinfo(np.int64).max
+#: Sums of squares outside are taken again with scaled components, as some squares may be no doubles.
+SQUARES = (2.0**-900, 2.0**1000)
 NEIGHBOURS = 10
 #: 1: exact search; smaller factors prune earlier and may miss neighbours.
 FACTOR = 1.0
@@ -31,12 +35,32 @@ def usable(vectors: DataFrame, id_column: str = "vec_id", column: str = "embeddi
 
 
 def distances(queries: np.ndarray, points: np.ndarray) -> np.ndarray:
-    """Euclidean distances in double precision, squares summed in the order of the components."""
-    total = np.zeros((len(queries), len(points)))
-    for j in range(points.shape[1]):
-        gap = queries[:, j, None] - points[None, :, j]
-        total += gap * gap
-    return np.sqrt(total)
+    """Euclidean distances in double precision, squares summed in the order of the components.
+
+    Where squares overflow or vanish, the gaps are first multiplied by a power of two, which changes
+    no digit; a distance is infinite only if it is greater than every double.
+    """
+    with np.errstate(over="ignore", under="ignore"):
+        total = np.zeros((len(queries), len(points)))
+        for j in range(points.shape[1]):
+            gap = queries[:, j, None] - points[None, :, j]
+            total += gap * gap
+        found = np.sqrt(total)
+        q, p = np.nonzero(~((total > SQUARES[0]) & (total < SQUARES[1])))
+        for at in range(0, len(q), 1 << 14):
+            some = slice(at, at + (1 << 14))
+            left, right = queries[q[some]], points[p[some]]
+            # halves where the gap between two doubles is none
+            gaps, half = left - right, np.zeros(len(left), int)
+            wide = ~np.isfinite(gaps).all(axis=1)
+            gaps[wide], half[wide] = left[wide] / 2 - right[wide] / 2, 1
+            _, power = np.frexp(np.abs(gaps).max(axis=1, initial=0.0))
+            gaps = np.ldexp(gaps, -power[:, None])
+            squares = np.zeros(len(gaps))
+            for j in range(gaps.shape[1]):
+                squares += gaps[:, j] * gaps[:, j]
+            found[q[some], p[some]] = np.ldexp(np.sqrt(squares), power + half)
+    return found
 
 
 @dataclass
@@ -83,7 +107,7 @@ class Search:
         self.ids, self.points, self.query_ids, self.queries = ids, points, query_ids, queries
         self.k, self.factor = k, factor
         self.best = np.full((len(queries), k), np.inf)
-        self.found = np.full((len(queries), k), np.iinfo(np.int64).max)
+        self.found = np.full((len(queries), k), NOBODY)
 
     def offer(self, who: np.ndarray, rows: np.ndarray) -> np.ndarray:
         """Compare queries ``who`` with points ``rows``; ties go to the smaller id."""
@@ -91,7 +115,7 @@ class Search:
         ids = np.broadcast_to(self.ids[rows], near.shape)
         own = ids == self.query_ids[who, None]
         all_near = np.concatenate([self.best[who], np.where(own, np.inf, near)], 1)
-        all_ids = np.concatenate([self.found[who], np.where(own, np.iinfo(np.int64).max, ids)], 1)
+        all_ids = np.concatenate([self.found[who], np.where(own, NOBODY, ids)], 1)
         order = np.lexsort((all_ids, all_near), axis=1)[:, : self.k]
         self.best[who] = np.take_along_axis(all_near, order, 1)
         self.found[who] = np.take_along_axis(all_ids, order, 1)
@@ -105,7 +129,8 @@ class Search:
             return
         to = self.offer(who, np.array([node.vantage]))[:, 0]
         # By the triangle inequality no point of a side is nearer than this.
-        least = [np.maximum(np.maximum(lo - to, to - hi), 0) for lo, hi in (node.inner, node.outer)]
+        with np.errstate(invalid="ignore"):  # between infinite distances there is no bound
+            least = [np.fmax(np.fmax(lo - to, to - hi), 0) for lo, hi in (node.inner, node.outer)]
         first = (least[1] < least[0]).astype(int)
         for turn in (0, 1):
             side = first if turn == 0 else 1 - first
@@ -114,7 +139,8 @@ class Search:
                 bound = least[child][pick]
                 # rounding may lift a bound by some units in the last place
                 slack = 1e-9 * (1 + to[pick])
-                reach = bound - slack <= self.factor * self.best[who[pick], self.k - 1]
+                with np.errstate(invalid="ignore"):
+                    reach = ~(bound - slack > self.factor * self.best[who[pick], self.k - 1])
                 self.walk(node.children[child], who[pick][reach])
 
 
@@ -144,7 +170,8 @@ def nearest_neighbours(
     queries visits each shard, and the best of all shards are ranked.  A side of a vantage
     point is skipped if its distance bound exceeds ``factor`` times the k-th distance so far:
     1 gives the exact result.  Unusable vectors (:func:`usable`) take part in neither table; of
-    rows with one id the smallest vector counts.  All vectors must have one dimension.
+    rows with one id the smallest vector counts.  A vector's neighbours are those of its own length; finite
+    components of any size are compared, and distances beyond the greatest double come last, as infinite.
     """
 
     def prepared(df: DataFrame) -> DataFrame:
@@ -159,23 +186,25 @@ def nearest_neighbours(
     place = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
     packed = F.sort_array(F.collect_list(F.struct("vec_id", "embedding")))
     # one row holds a shard or a block of bounded size
-    index = points.groupBy(place(shards).alias("shard")).agg(packed.alias("points"))
-    blocks = asked.groupBy(place(parts).alias("block")).agg(packed.alias("asked"))
+    dim = F.size("embedding").alias("dim")
+    index = points.groupBy(dim, place(shards).alias("shard")).agg(packed.alias("points"))
+    blocks = asked.groupBy(dim, place(parts).alias("block")).agg(packed.alias("asked"))
     visits = blocks.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    pairs = visits.repartition(shards, "shard").join(index.hint("shuffle_hash"), "shard")
+    pairs = visits.repartition(shards, "shard").join(index.hint("shuffle_hash"), ["shard", "dim"])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, tree = None, None
+        held, tree = None, None
         for batch in batches:
             for i in range(batch.num_rows):
-                if batch.column("shard")[i].as_py() != shard:
-                    shard = batch.column("shard")[i].as_py()
+                now = batch.column("shard")[i].as_py(), batch.column("dim")[i].as_py()
+                if now != held:
+                    held = now
                     ids, matrix = _matrix(batch.column("points")[i].values)
                     tree = build_tree(matrix, np.arange(len(ids)))
                 query_ids, asked_for = _matrix(batch.column("asked")[i].values)
                 run = Search(ids, matrix, query_ids, asked_for, k, factor)
                 run.walk(tree, np.arange(len(query_ids)))
-                hit = np.isfinite(run.best)
+                hit = run.found != NOBODY
                 yield pa.record_batch(
                     {
                         "query_id": pa.array(np.repeat(query_ids, hit.sum(axis=1))),
@@ -184,7 +213,7 @@ def nearest_neighbours(
                     }
                 )
 
-    visits = pairs.select("shard", "points", "asked")
+    visits = pairs.select("shard", "dim", "points", "asked")
     found = visits.mapInArrow(search, "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)

@@ -413,7 +413,9 @@ def test_windows_cover_every_word():
     windows, rows = toxicity.cut_windows(codes, counts)
     assert set(windows[windows >= 0]) == set(codes)
     number = np.bincount(rows, minlength=len(counts))
-    assert number.tolist() == [0, 1, 1, 2, 2, 3, 8]
+    assert number.tolist() == [0, 1, 1, 2, 3, 3, 12]
+    phrases = {tuple(range(at, at + 9)) for at in range(counts.sum() - 100, counts.sum() - 8)}
+    assert phrases <= {tuple(w[i : i + 9]) for w in windows for i in range(len(w) - 8)}
 
 
 def test_toxicity_learns_words(spark, docs):

@@ -18,8 +18,9 @@ from weekloom.llm.texts import blocks, ragged
 #: Labelled documents of either kind the network is fitted on, at most.
 TRAIN_ROWS = 1_200
 THRESHOLD = 0.7
-#: Words of a window, and the words from one window's start to the next.
-WINDOW, STRIDE = 16, 12
+#: Words of a window, and the words from one window's start to the next: each word but the first and last
+#: few is in two windows, and any phrase of up to nine words is whole in one.
+WINDOW, STRIDE = 16, 8
 #: Sizes of word vectors, letter vectors and recurrent states.
 WORD_SIZE, LETTER_SIZE, STATE = 8, 8, 8
 #: Buckets of letter n-grams; a word's letter input is the mean of its n-grams' vectors.

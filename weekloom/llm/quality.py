@@ -113,13 +113,16 @@ def _statistic_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
         flat = pa.array(found.ravel(), pa.float32())
         steps = pa.array(np.arange(len(found) + 1, dtype=np.int32) * found.shape[1])
         column = pa.ListArray.from_arrays(steps, flat)
-        yield pa.record_batch({"doc_id": batch.column("doc_id"), "stats": column})
+        keys = {name: batch.column(name) for name in ("doc_id", "text_hash")}
+        yield pa.record_batch(keys | {"stats": column})
 
 
 def document_statistics(docs: DataFrame) -> DataFrame:
-    """``doc_id`` and ``stats``, an array of STATISTICS, of every whole text."""
-    rows = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), "text")
-    return rows.mapInArrow(_statistic_batches, "doc_id long, stats array<float>")
+    """``doc_id``, ``text_hash`` and ``stats``, an array of STATISTICS, of every whole text."""
+    rows = docs.where("doc_id IS NOT NULL").select(
+        F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_hash")
+    )
+    return rows.mapInArrow(_statistic_batches, "doc_id long, text_hash long, stats array<float>")
 
 
 @dataclass(frozen=True)
@@ -236,7 +239,7 @@ def training_rows(stats: DataFrame, labels: DataFrame, label: str, rows: int) ->
 def score_quality(
     docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, threshold: float = THRESHOLD
 ) -> DataFrame:
-    """``doc_id``, ``held_out``, ``score`` and ``predicted`` of every document.
+    """``doc_id``, ``held_out``, ``score``, ``predicted`` and ``text_hash`` of every document.
 
     Statistics come from whole texts, are stored once, and serve training and scoring.  Labels
     are learnt from at most ``train_rows`` documents whose CRC-32 of the id mod 4 is not 2.
@@ -255,23 +258,30 @@ def score_quality(
         for batch in batches:
             flat = batch.column("stats").flatten().to_numpy(zero_copy_only=False)
             found = trees.score(flat.reshape(batch.num_rows, len(STATISTICS)))
-            yield pa.record_batch({"doc_id": batch.column("doc_id"), "score": pa.array(found)})
+            keys = {name: batch.column(name) for name in ("doc_id", "text_hash")}
+            yield pa.record_batch(keys | {"score": pa.array(found)})
 
-    scored = stats.mapInArrow(score, "doc_id long, score double")
+    scored = stats.mapInArrow(score, "doc_id long, text_hash long, score double")
     return scored.select(
         "doc_id",
         out.alias("held_out"),
         "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
+        "text_hash",
     )
 
 
 def drop_rejected(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents the classifier rejects go, with all rows of their id."""
+    """Pipeline stage: rows whose text the classifier rejects go, each judged by its own text.
+
+    Rows without ``doc_id`` go too, as later stages name documents by it; repeated rows stay.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     kept = stored(score_quality(docs, labels), "scores").where("predicted = 1")
-    kept = kept.select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = kept.select("doc_id", F.col("text_hash").alias("_text_hash")).distinct()
+    keyed = docs.withColumn("_text_hash", F.xxhash64("text"))
+    judged = keyed.join(kept, ["doc_id", "_text_hash"], "left_semi")
+    return judged.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

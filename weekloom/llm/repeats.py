@@ -398,7 +398,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, carried: Sequence[str]
     A byte goes if a string of ``length`` bytes that holds it also starts earlier, in a smaller
     ``doc_id`` or the same document.  Strings are judged on the input and never cross documents.
     A null text counts as empty; rows without ``doc_id`` are left out; of rows with one
-    ``doc_id`` the smallest text counts, and one row comes out.  An empty table gives an empty
+    ``doc_id`` the smallest text that isn't empty counts, and one row comes out.  An empty table gives an empty
     result.  Columns other than ``doc_id``, ``text`` and those carried are not read.
     """
     row = F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in carried]).alias("row")
@@ -408,8 +408,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, carried: Sequence[str]
         row,
     )
     if texts.groupBy("doc_id").count().where("count > 1").limit(1).count():
+        order = F.struct((F.col("text") == "").alias("empty"), "text")
         single = texts.groupBy("doc_id").agg(
-            F.min("text").alias("text"), F.min_by("row", "text").alias("row")
+            F.min_by("text", order).alias("text"), F.min_by("row", order).alias("row")
         )
         texts = stored(single, "texts")
     spans = repeated_spans(texts, length).groupBy("doc").agg(
@@ -454,7 +455,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, carried: Sequence[str]
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: texts without repeated bytes; a character cut in two is replaced.
 
-    Texts left empty stay as empty documents; ``n_chars`` becomes the length of the new text.
+    Texts left empty stay as empty documents; ``n_chars`` becomes the length of the new text.  Rows
+    without ``doc_id`` go, and of rows with one id that of the smallest text that isn't empty stays.
     """
     others = [c for c in docs.columns if c not in ("text", "n_chars", "doc_id")]
     kept = remove_repeats(docs, carried=others).withColumn(

@@ -10,7 +10,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from weekloom.llm.components import components
@@ -54,13 +54,16 @@ def fingerprint(text: str | bytes | None, words: int = WORDS, seed: int = SEED)
 def _fingerprint_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = [fingerprint(t.as_py()) for t in batch.column("text").cast(pa.binary())]
-        yield pa.record_batch({"doc_id": batch.column("doc_id"), "fp": pa.array(found, pa.int64())})
+        keys = {name: batch.column(name) for name in ("doc_id", "text_hash")}
+        yield pa.record_batch(keys | {"fp": pa.array(found, pa.int64())})
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """``doc_id`` and ``fp`` of every whole text."""
-    rows = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), "text")
-    return rows.mapInArrow(_fingerprint_batches, "doc_id long, fp long")
+    """``doc_id``, ``text_hash`` and ``fp`` of every whole text."""
+    rows = docs.where("doc_id IS NOT NULL").select(
+        F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_hash")
+    )
+    return rows.mapInArrow(_fingerprint_batches, "doc_id long, text_hash long, fp long")
 
 
 def _gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,7 +196,7 @@ def linked_pairs(classes: DataFrame, plan: Plan, max_distance: int = MAX_DISTANC
 
 
 def simhash_groups(docs: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
-    """``doc_id``, ``fingerprint`` (16 hex digits) and ``component_id`` of every document.
+    """``doc_id``, ``fingerprint`` (16 hex digits), ``component_id``, ``root`` and ``text_hash`` of every document.
 
     Texts are compared by the SimHash of all their word shingles.  Equal fingerprints are one
     class from the start; classes are linked where at most ``max_distance`` bits differ, and the
@@ -208,21 +211,30 @@ def simhash_groups(docs: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFra
     groups = components(pairs).select(F.col("node").alias("fp"), F.col("component").alias("root"))
     rooted = classes.join(groups, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "component_id")
+    named = rooted.join(least, "root").select("fp", "component_id", "root")
     return found.join(named, "fp").select(
-        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "root", "text_hash"
     )
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each group only the document with the smallest id stays."""
+    """Pipeline stage: of each group one row stays, of the smallest id and the smallest hash of its text.
+
+    Of rows with one id and text that is any one.  Rows without ``doc_id`` go.
+    """
     groups = stored(simhash_groups(docs), "groups")
-    kept = groups.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    first = groups.groupBy("root").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
+    kept = first.select("first.doc_id", F.col("first.text_hash").alias("_text_hash")).distinct()
+    keys = ["doc_id", "_text_hash"]
+    rows = docs.withColumn("_text_hash", F.xxhash64("text")).join(kept, keys, "left_semi")
+    again = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
+    rows = rows.withColumn("_again", again).where("_again = 1")
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash_groups(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    groups = simhash_groups(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return groups.select("doc_id", "fingerprint", "component_id")
 
 
 QUERIES = {"op8_simhash": op8_simhash}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
 from weekloom.operators import ads
-from weekloom.plans.batch import run_batch
+from weekloom.plans.batch import HUGE, METHOD_LIMIT, run_batch
 from weekloom.plans.tables import OUTPUTS, TABLES, Tables, Top
 from weekloom.sources.retail import WEBSITE_SALES, retail_source
 from weekloom.sources.schemas import SCHEMAS, schema_of
@@ -123,6 +123,24 @@ def test_batch_writes_what_the_tables_hold(spark, tables):
         assert tables[name].exceptAll(layer[name]).count() == 0
 
 
+def test_batch_leaves_no_method_uncompiled(spark):
+    """The staged orders as one method would only be interpreted; the session keeps its own setting."""
+    before, seen, source = spark.conf.get(METHOD_LIMIT), [], retail_source(spark, SF)
+
+    def watched(name, columns=None):
+        seen.append(int(spark.conf.get(METHOD_LIMIT)))
+        return source(name, columns)
+
+    def failing(name, columns=None):
+        raise KeyError(name)
+
+    run_batch(spark, watched, fresh_folder(spark, "test"), ["website_weekly_overall"])
+    assert seen and max(seen) <= HUGE
+    with pytest.raises(KeyError):
+        run_batch(spark, failing, fresh_folder(spark, "test"), ["website_weekly_overall"])
+    assert spark.conf.get(METHOD_LIMIT) == before
+
+
 def test_tables_from_stored_sources(spark, tables):
     """The same tables come out of sources kept as parquet."""
     base = fresh_folder(spark, "sources")

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,6 +15,24 @@ from weekloom.sources.tables import Source, fresh_folder, write_table
 # Prepared sources that several tables share and that are costly to make.
 STAGED = ("website_sales", "facebook_ads")
 
+# Spark's setting for the bytes of one generated method, and the bytes from which on HotSpot only interprets it.
+METHOD_LIMIT, HUGE = "spark.sql.codegen.hugeMethodLimit", 8000
+
+
+@contextmanager
+def compiled(spark: SparkSession) -> Iterator[None]:
+    """Inside, a stage whose code would be one method too large to be compiled runs as many small ones.
+
+    Joining and cleaning all columns of the orders at once makes such a method, and interpreting it takes more
+    than twice as long as all the work.  Results don't depend on it; the session's setting comes back afterwards.
+    """
+    before = spark.conf.get(METHOD_LIMIT)
+    spark.conf.set(METHOD_LIMIT, min(int(before), HUGE))
+    try:
+        yield
+    finally:
+        spark.conf.set(METHOD_LIMIT, before)
+
 
 def stage(spark: SparkSession, source: Source, names: Iterable[str]) -> dict[str, DataFrame]:
     """Write the shared prepared sources, with the columns ``names`` read, to a new folder.
@@ -49,14 +68,15 @@ def run_batch(
     not depend on each other; ``at_once`` of them run together to keep all executors busy.
     """
     names = list(names)
-    staged = stage(spark, source, names)
     layer = Layer(spark, target)
     later = [n for n in names if isinstance(TABLES[n], Top | Same) and TABLES[n].of in names]
     made: dict[str, Version] = {}
-    for wave in ([n for n in names if n not in later], later):
-        tables = Tables(source, staged, {n: layer.read(v) for n, v in made.items()})
-        with ThreadPoolExecutor(at_once) as pool:
-            made |= zip(wave, pool.map(lambda n: layer.write(n, tables[n]), wave), strict=True)
+    with compiled(spark):
+        staged = stage(spark, source, names)
+        for wave in ([n for n in names if n not in later], later):
+            tables = Tables(source, staged, {n: layer.read(v) for n, v in made.items()})
+            with ThreadPoolExecutor(at_once) as pool:
+                made |= zip(wave, pool.map(lambda n: layer.write(n, tables[n]), wave), strict=True)
     layer.publish(made.values())
     return layer
 

@@ -11,7 +11,7 @@ from weekloom.functions import measures as m
 from weekloom.operators import ads, distinct, explore, report, uplift
 from weekloom.operators import weeks as wk
 from weekloom.operators.rank import keep_top_k, top_n_per_group
-from weekloom.operators.rollup import rollup, rollup_late
+from weekloom.operators.rollup import add_up, group_parts, rollup, rollup_late, rollup_parts
 from weekloom.plans import prepare
 from weekloom.plans.tables import Range, Tables
 from weekloom.sources.schemas import SCHEMAS, check_columns, schema_of
@@ -108,6 +108,25 @@ def test_keys_made_after_the_first_grouping(spark):
         rollup_late(df, ["k"], {}, {"x": m.distinct("v")})
 
 
+def test_rollups_of_groups_are_rollups_of_rows(spark):
+    df = spark.createDataFrame(
+        [("a", "x", 1, True), ("a", "x", 1, True), ("a", "y", None, False), ("a", None, 5, None),
+         (None, "x", 7, True), ("b", None, None, None), ("b", None, None, None)],
+        "k string, g string, v int, f boolean",
+    ).withColumn("d", F.expr("CAST(v / 4 AS DECIMAL(18,4))"))
+    pack = {"s": m.total("v"), "n": m.count("v"), "f": m.total("f"), "d": m.total("d"), "again": m.total("d")}
+    ratios = {"r": m.Ratio("d", "n")}
+    assert add_up(df, pack.values())
+    groups = group_parts(df, ["k", "g"], pack.values())
+    for keys, nullable in ((["k", "g"], []), (["k"], []), (["g"], []), (["k", "g"], ["g"])):
+        whole = rollup(df, keys, pack, ratios, nullable)
+        again = rollup_parts(groups, keys, pack, ratios, nullable)
+        assert again.dtypes == whole.dtypes
+        assert sorted(rows(again), key=str) == sorted(rows(whole), key=str)
+    real = df.withColumn("v", F.col("v").cast("double"))
+    assert not add_up(real, [m.total("v")]) and not add_up(df, [m.distinct("v")])
+
+
 def test_distinct_numbers_of_any_weeks(spark):
     """Bitmaps of single weeks give the count over any of them; numbers of every size and sign."""
     pick = random.Random(2)

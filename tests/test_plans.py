@@ -141,6 +141,23 @@ def test_batch_leaves_no_method_uncompiled(spark):
     assert spark.conf.get(METHOD_LIMIT) == before
 
 
+def test_batch_scans_a_source_once_for_tables_of_common_groups(spark, tables):
+    names = ["website_weekly_campaign", "website_weekly_overall", "website_customer_analysis",
+             "website_websource_analysis", "google_ads_weekly_overall", "google_ads_weekly_campaign",
+             "bing_ads_weekly_overall", "bing_ads_weekly_campaign"]
+    seen, source = [], retail_source(spark, SF)
+
+    def watched(name, columns=None):
+        seen.append(name)
+        return source(name, columns)
+
+    layer = run_batch(spark, watched, fresh_folder(spark, "test"), names)
+    assert sorted(seen) == ["bing_ads_stats", "google_ads_stats", "website_sales"]
+    for name in names:
+        assert layer[name].exceptAll(tables[name]).count() == 0
+        assert tables[name].exceptAll(layer[name]).count() == 0
+
+
 def test_tables_from_stored_sources(spark, tables):
     """The same tables come out of sources kept as parquet."""
     base = fresh_folder(spark, "sources")

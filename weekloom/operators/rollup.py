@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -82,29 +82,54 @@ def rollup_late(
     first, the key is made once for each group, and the groups are summed up again.  Measures are sums and
     counts of columns that are not floating-point, so that partial sums lose nothing.
     """
-    types = {field.name: field.dataType for field in df.schema.fields}
-    for m in measures.values():
-        if m.how not in ("sum", "count") or (m.how == "sum" and exactly.is_double(types[m.column])):
-            raise ValueError(f"{m.how} of {m.column!r} does not add up from partial results")
+    if not add_up(df, measures.values()):
+        raise ValueError("distinct counts, means and floating-point sums do not add up from partial results")
     ready = [key for key in keys if key not in late]
     early = [late[key][0] if key in late else key for key in keys]
-    kept = require(df, [key for key in ready if key not in nullable])
-    parts = []
-    for name, m in measures.items():
-        whole = isinstance(types[m.column], T.BooleanType)
-        column = quoted(m.column).cast("int") if whole and m.how == "sum" else quoted(m.column)
-        parts.append((F.sum if m.how == "sum" else F.count)(column).alias(name))
-    once = kept.groupBy(*early).agg(*parts)
+    once = group_parts(require(df, [key for key in ready if key not in nullable]), early, measures.values())
     made = [late[key][1](late[key][0]).alias(key) if key in late else quoted(key) for key in keys]
-    groups = once.select(*made, *map(quoted, measures))
-    groups = require(groups, [key for key in late if key not in nullable])
-    added = groups.groupBy(*keys).agg(*(F.sum(quoted(name)).alias(name) for name in measures))
+    groups = once.select(*made, *(quoted(part) for part in once.columns[len(early):]))
+    return rollup_parts(groups, keys, measures, derived, nullable)
+
+
+def add_up(df: DataFrame, measures: Iterable[Measure]) -> bool:
+    """Whether all measures of ``df`` come out the same from partial sums and counts."""
+    return all(
+        m.how == "count" or (m.how == "sum" and not exactly.is_double(df.schema[m.column].dataType))
+        for m in measures
+    )
+
+
+def group_parts(df: DataFrame, keys: Sequence[str], measures: Iterable[Measure]) -> DataFrame:
+    """Groups of ``df``, those with NULL keys too, with the partial result of each measure."""
+    parts = {}
+    for m in measures:
+        whole = isinstance(df.schema[m.column].dataType, T.BooleanType) and m.how == "sum"
+        column = quoted(m.column).cast("int") if whole else quoted(m.column)
+        parts[_part(m)] = (F.sum if m.how == "sum" else F.count)(column)
+    return df.groupBy(*keys).agg(*(column.alias(name) for name, column in parts.items()))
+
+
+def rollup_parts(
+    groups: DataFrame,
+    keys: Sequence[str],
+    measures: Mapping[str, Measure],
+    derived: Mapping[str, Ratio | Difference] | None = None,
+    nullable: Sequence[str] = (),
+) -> DataFrame:
+    """As :func:`rollup` over rows that :func:`group_parts` has grouped by ``keys`` and maybe others."""
+    kept = require(groups, [key for key in keys if key not in nullable])
+    added = kept.groupBy(*keys).agg(*(F.sum(quoted(_part(m))).alias(name) for name, m in measures.items()))
     out = added.select(
         *keys,
         *(
             (F.coalesce(quoted(name), F.lit(0)).cast("bigint") if m.how == "count"
-             else _filled(m, types[m.column], name)).alias(name)
+             else _filled(m, groups.schema[_part(m)].dataType, name)).alias(name)
             for name, m in measures.items()
         ),
     )
     return with_derived(out, derived or {})
+
+
+def _part(measure: Measure) -> str:
+    return f"_{measure.how}_{measure.column}"

@@ -8,9 +8,10 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weekloom.plans.tables import OUTPUTS, TABLES, Same, Tables, Top
+from weekloom.operators.rollup import add_up, group_parts
+from weekloom.plans.tables import GROUPS, OUTPUTS, TABLES, Rollup, Same, Tables, Top
 from weekloom.sources.layer import Layer, Version
-from weekloom.sources.tables import Source, fresh_folder, write_table
+from weekloom.sources.tables import Source, fresh_folder, staged as kept, write_table
 
 # Prepared sources that several tables share and that are costly to make.
 STAGED = ("website_sales", "facebook_ads")
@@ -54,6 +55,31 @@ def stage(spark: SparkSession, source: Source, names: Iterable[str]) -> dict[str
     return staged
 
 
+def group(tables: Tables, names: Iterable[str], at_once: int = 4) -> dict[str, DataFrame]:
+    """Write groups of the sources in GROUPS that more than one table of ``names`` can be added up from.
+
+    Rows are then scanned once for all of these tables.  Sources with floating-point sums are left out, as
+    partial sums of those are not exact.
+    """
+    found = _with_inputs(names)
+
+    def write(prepared: str) -> DataFrame | None:
+        readers = [
+            t for n, t in TABLES.items()
+            if n in found and isinstance(t, Rollup) and t.source == prepared and t.in_groups
+        ]
+        if len(readers) < 2:
+            return None
+        measures = list(dict.fromkeys(m for t in readers for m in t.measures.values()))
+        keys = [k for k in GROUPS[prepared] if any(k in t.keys for t in readers)]
+        rows = tables.prepared(prepared, [*keys, *(m.column for m in measures)])
+        return kept(group_parts(rows, keys, measures), "groups") if add_up(rows, measures) else None
+
+    with ThreadPoolExecutor(at_once) as pool:
+        made = dict(zip(GROUPS, pool.map(write, GROUPS), strict=True))
+    return {prepared: groups for prepared, groups in made.items() if groups is not None}
+
+
 def run_batch(
     spark: SparkSession,
     source: Source,
@@ -73,8 +99,9 @@ def run_batch(
     made: dict[str, Version] = {}
     with compiled(spark):
         staged = stage(spark, source, names)
+        groups = group(Tables(source, staged), names, at_once)
         for wave in ([n for n in names if n not in later], later):
-            tables = Tables(source, staged, {n: layer.read(v) for n, v in made.items()})
+            tables = Tables(source, staged, {n: layer.read(v) for n, v in made.items()}, groups)
             with ThreadPoolExecutor(at_once) as pool:
                 made |= zip(wave, pool.map(lambda n: layer.write(n, tables[n]), wave), strict=True)
     layer.publish(made.values())

@@ -14,7 +14,7 @@ from weekloom.functions.text import NO_PROMOTION
 from weekloom.operators import uplift
 from weekloom.operators.rank import top_n_per_group
 from weekloom.operators.exact import is_double
-from weekloom.operators.rollup import rollup, rollup_late
+from weekloom.operators.rollup import rollup, rollup_late, rollup_parts
 from weekloom.operators.weeks import normalise_week
 from weekloom.plans.prepare import LATE, PREPARED
 from weekloom.sources.tables import Source
@@ -37,6 +37,12 @@ class Rollup:
     def columns(self) -> list[str]:
         return [*self.keys, *(measure.column for measure in self.measures.values())]
 
+    @property
+    def in_groups(self) -> bool:
+        """Whether groups by the keys in GROUPS have all this table needs."""
+        additive = all(measure.how in ("sum", "count") for measure in self.measures.values())
+        return additive and set(self.keys) <= set(GROUPS.get(self.source, ()))
+
     def build(self, tables: Tables) -> DataFrame:
         late = {key: LATE[key] for key in self.keys if key in LATE} if self.late else {}
         if late and not tables.is_staged(self.source):
@@ -46,8 +52,12 @@ class Rollup:
                 return rollup_late(
                     rows, self.keys, late, self.measures, self.derived, self.nullable
                 ).drop(*self.hidden)
-        rows = tables.prepared(self.source, self.columns())
-        out = rollup(rows, self.keys, self.measures, self.derived, self.nullable, exact=True)
+        groups = tables.groups(self.source) if self.in_groups else None
+        if groups is not None:
+            out = rollup_parts(groups, self.keys, self.measures, self.derived, self.nullable)
+        else:
+            rows = tables.prepared(self.source, self.columns())
+            out = rollup(rows, self.keys, self.measures, self.derived, self.nullable, exact=True)
         if self.label_week:
             out = out.withColumn("Week", week_label("Week"))
         return out.drop(*self.hidden)
@@ -96,6 +106,13 @@ class Step:
         return self.function(tables.prepared(self.source, self.columns()))
 
 
+#: Keys of prepared sources that several tables are rolled up by, alone or together.  Groups of them can be kept.
+GROUPS = {
+    "website_sales": ("Week", "campaign", "cleaned_websource", "category", "isreturningcustomer"),
+    "google_ads_stats": ("Week", "campaign_name"),
+    "bing_ads_stats": ("Week", "campaign_name"),
+}
+
 PROMO_COLUMNS = (
     "Week", "promo_clean", "order_ts", "novusd", "contributionmargin", "marketordernumber",
 )
@@ -327,14 +344,20 @@ class Tables:
         source: Source,
         staged: Mapping[str, DataFrame] | None = None,
         written: Mapping[str, DataFrame] | None = None,
+        groups: Mapping[str, DataFrame] | None = None,
     ) -> None:
         self._source = source
         self._staged = dict(staged or {})
         self._written = dict(written or {})
+        self._groups = dict(groups or {})
 
     def is_staged(self, source: str) -> bool:
         return source in self._staged
 
+    def groups(self, source: str) -> DataFrame | None:
+        """Kept groups of a prepared source by the keys in GROUPS."""
+        return self._groups.get(source)
+
     def prepared(self, source: str, columns: list[str]) -> DataFrame:
         if source in self._staged:
             return self._staged[source].select(*dict.fromkeys(columns))

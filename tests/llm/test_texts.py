@@ -211,6 +211,51 @@ def test_a_passage_of_many_surroundings_meets_in_bounded_arrays(spark, docs, mon
     assert 1 < max(map(int, (tmp_path / "most").read_text().split())) <= 50
 
 
+def test_surroundings_hold_only_strings_with_the_bytes_of_their_key(spark, docs, monkeypatch, tmp_path):
+    rng = random.Random(17)
+    shared = [noise(rng, rng.randint(110, 170)) for _ in range(5)]
+    rows = [(i, noise(rng, rng.randint(0, 120)) + rng.choice(shared)[i % 8 :] + noise(rng, 120)) for i in range(60)]
+    true = repeats._surrounding_batches
+
+    def watched(batches, length):
+        batches = list(batches)
+        with open(tmp_path / "most", "a") as out:
+            out.writelines(f"{len(c)}\n" for b in batches for c in b.column("content").to_pylist())
+        yield from true(iter(batches), length)
+
+    monkeypatch.setattr(repeats, "_surrounding_batches", watched)
+    found = {r["doc_id"]: r for r in repeats.remove_repeats(docs(rows).repartition(5)).collect()}
+    for doc, (kept, mark) in plain_removal([(i, t.encode()) for i, t in rows]).items():
+        assert (bytes(found[doc]["kept"]), found[doc]["n_removed"]) == (kept, mark.sum())
+    sizes = list(map(int, (tmp_path / "most").read_text().split()))
+    assert len(sizes) > 20 and 100 <= min(sizes) and max(sizes) <= 130
+
+
+@pytest.mark.parametrize("letters", ["ab", "a\0", "é\0x"])
+@pytest.mark.parametrize("one_hash", [False, True])
+def test_suffix_array_has_all_repeats_and_nothing_else(monkeypatch, letters, one_hash):
+    if one_hash:
+        monkeypatch.setattr(repeats, "prefix_hashes", lambda data, n: np.zeros(len(data) - n + 1, np.uint64))
+    rng, length = random.Random(18), 11
+    texts_ = [noise(rng, rng.randint(0, 60), letters).encode() for _ in range(14)]
+    cuts = [(d, p, t[p : p + 40]) for d, t in enumerate(texts_) for p in (0, 7, 19) if p < max(1, len(t))]
+    rng.shuffle(cuts)
+    given, starts = np.array([7 * d for d, _, _ in cuts]), np.array([p for _, p, _ in cuts])
+    (d, s, e), _, (doc, at) = repeats.compare_surroundings(given, given, starts, [c for *_, c in cuts], length)
+    places = {(7 * d, p + i, c[i : i + length]) for d, p, c in cuts for i in range(len(c) - length + 1)}
+    first, held = {}, {}
+    for place in sorted(places):
+        first.setdefault(place[2], place)
+        held[place[2]] = held.get(place[2], 0) + 1
+    again = {p[:2] for p in places if first[p[2]] != p}
+    got = {(int(a), q) for a, b, c in zip(d, s, e, strict=True) for q in range(b, c - length + 1)}
+    assert again and got == again
+    if not one_hash:
+        counted = {p[:2] for p in places if held[p[2]] > 1}
+        assert counted <= set(zip(doc.tolist(), at.tolist(), strict=True))
+        assert len(doc) < sum(max(0, len(c) - length + 1) for *_, c in cuts)
+
+
 def test_removal_of_odd_rows(spark, docs):
     found = repeats.remove_repeats(docs(ODD, spans="clash", row="clash")).collect()
     plain = plain_removal([(i, (t or "").encode()) for i, t in ODD if i and (i, t) != (4, "a")] + [(4, b"a")])

@@ -4,8 +4,8 @@ Every string of ``length`` bytes picks an anchor, the gram of GRAM bytes in it w
 hash, so equal strings pick equal anchors at equal places.  Anchors with equal grams are brought
 together by a shuffle.  Where the surroundings of two anchors are equal as far as any string
 around them reaches, the later is repeated as a whole.  The different surroundings of one gram
-are compared by a suffix array, its common-prefix intervals found by a stack.  Where they are
-too many for one array, their strings of ``length`` bytes are grouped instead.
+are compared by a suffix array and its common-prefix intervals.  Where they are too many for one
+array, their strings of ``length`` bytes are grouped instead.
 """
 
 from __future__ import annotations
@@ -139,78 +139,92 @@ def _anchor_batches(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[
         )
 
 
-def sorted_suffixes(data: np.ndarray, starts: np.ndarray, rest: np.ndarray):
-    """``starts`` in the order of the text there, and the length of the prefix each shares with
-    the one before; ``rest`` bytes of each count at most.  Ranks double their width."""
-    depth = int(rest.max(initial=1))
-    padded = np.concatenate([data, np.zeros(2 * depth + 16, np.uint8)])
-    wide = padded.astype(np.uint64)
-    n = len(padded) - 7
-    key = wide[:n].copy()
-    for i in range(1, 8):
-        key = (key << np.uint64(8)) | wide[i : n + i]
-    levels, width = [], 8
-    ranks = np.unique(key, return_inverse=True)[1]
-    levels.append((width, ranks))
-    while width < depth:
-        after = np.zeros_like(ranks)
-        after[:-width] = ranks[width:]
-        ranks = np.unique(ranks * (int(ranks.max()) + 1) + after, return_inverse=True)[1]
-        width *= 2
-        levels.append((width, ranks))
-    by = np.argsort(ranks[starts], kind="stable")
-    order, rest = starts[by], rest[by]
-    a, b = order[:-1], order[1:]
-    shared = np.zeros(len(a), np.int64)
-    for width, ranks in reversed(levels):
-        at = np.minimum(len(ranks) - 1, np.stack([a + shared, b + shared]))
-        shared += np.where(ranks[at[0]] == ranks[at[1]], width, 0)
-    for _ in range(7):
-        shared += padded[np.minimum(a + shared, n)] == padded[np.minimum(b + shared, n)]
-    common = np.zeros(len(order), np.int64)
+def prefix_hashes(data: np.ndarray, length: int) -> np.ndarray:
+    """A hash of the ``length`` bytes from each place on, by doubling; the last two widths overlap."""
+    h, width, k = data.astype(np.uint64) + np.uint64(1), 1, 0
+    while 2 * width <= length:
+        h = h[:-width] * _STEPS[k % 5] + h[width:]
+        h ^= h >> np.uint64(29)
+        k, width = k + 1, 2 * width
+    n, rest = len(data) - length + 1, length - width
+    return mix(h[:n] * _STEPS[5] + h[rest : rest + n])
+
+
+def sorted_suffixes(data: np.ndarray, starts: np.ndarray, rest: np.ndarray, length: int):
+    """The suffix array of those ``starts`` whose first ``length`` bytes occur more than once: their
+    indexes, in the order of the text there, and the length of the prefix each shares with the one
+    before; ``rest`` bytes of each count, ``length`` or more.
+
+    Hashes find suffixes with equal beginnings; the bytes are compared all the same.
+    """
+    depth = int(rest.max(initial=length))
+    padded = np.concatenate([data, np.zeros(depth + 16, np.uint8)])
+    eights = np.ndarray(len(padded) - 7, ">u8", padded, strides=(1,))
+
+    def words(at, count):
+        drop = np.uint64(8) * (8 - np.clip(count, 0, 8)).astype(np.uint64)
+        return (eights[at].astype(np.uint64) >> drop) << drop
+
+    hashes = prefix_hashes(padded, length)[starts]
+    by = np.argsort(hashes)
+    twin = hashes[by][1:] == hashes[by][:-1]
+    by = by[np.concatenate(([False], twin)) | np.concatenate((twin, [False]))] if len(twin) else by[:0]
+    at, rest = starts[by], rest[by]
+    fresh = np.concatenate(([True], hashes[by][1:] != hashes[by][:-1]))[: len(by)]
+    first, kind = np.flatnonzero(fresh), np.cumsum(fresh) - 1
+    heads = [words(at + k, np.int64(length - k)) for k in range(0, length, 8)]
+    if all((h == h[first][kind]).all() for h in heads):
+        rank = np.argsort(np.lexsort([h[first] for h in reversed(heads)]))[kind]
+    else:  # different beginnings with one hash
+        rank = np.unique(np.stack(heads, 1), axis=0, return_inverse=True)[1].reshape(-1)
+    tails = [words(at + k, rest - k) for k in range(length, depth, 8)]
+    order = np.lexsort([*reversed(tails), rank])
+    by, rest, rank = by[order], rest[order], rank[order]
+    equal = rank[1:] == rank[:-1]
+    shared = np.where(equal, length, 0)
+    bounds = np.uint64(1) << np.arange(0, 64, 8, dtype=np.uint64)
+    for tail in tails:
+        tail = tail[order]
+        differ = tail[1:] ^ tail[:-1]
+        shared += np.where(equal, 8 - np.searchsorted(bounds, differ, "right"), 0)
+        equal &= differ == 0
+    common = np.zeros(len(by), np.int64)
     common[1:] = np.minimum(shared, np.minimum(rest[:-1], rest[1:]))
-    return order, by, common
+    return by, common
 
 
 def common_intervals(common: np.ndarray, before: np.ndarray, age: np.ndarray, length: int):
-    """Scan the common-prefix intervals of ``length`` or more with a stack.
+    """The common-prefix intervals of ``length`` or more, those of the longest prefix first; each takes in
+    the intervals next to each other that share its prefix, and counts as one from then on.
 
     ``before`` is the byte in front of each suffix (-1: unknown), ``age`` its order of origin.
-    Returns the maximal repeats as (length, first, last) in suffix order, those whose occurrences
+    Returns the maximal repeats as rows of (length, first, last) in suffix order, those whose occurrences
     differ in the byte before (an unknown byte differs from all), and for each suffix the length over which it is
     also found earlier.
     """
-    repeats, again = [], np.zeros(len(common), np.int64)
-    stack: list[list[int]] = []  # [prefix, first suffix, oldest suffix, byte before or -1]
-    limits = common.tolist() + [0]
-    left, born = before.tolist(), age.tolist()
-
-    def elder(one: int, two: int, prefix: int) -> int:
-        """The older of two suffixes; the other, unless it is the same place, is a repeat."""
-        if born[one] > born[two]:
-            one, two = two, one
-        if born[one] < born[two]:
-            again[two] = prefix
-        return one
-
-    near = np.flatnonzero(np.concatenate([common[1:] >= length, [False]]) | (common >= length))
-    for i in near.tolist():
-        limit = limits[i + 1] if limits[i + 1] >= length else 0
-        lo, oldest, byte = i, i, left[i]
-        while stack and stack[-1][0] > limit:
-            top = stack.pop()
-            oldest = elder(oldest, top[2], top[0])
-            byte = byte if byte == top[3] else -1
-            lo = top[1]
-            if byte == -1:
-                repeats.append((top[0], lo, i))
-        if limit:
-            if stack and stack[-1][0] == limit:
-                top = stack[-1]
-                top[2], top[3] = elder(oldest, top[2], limit), byte if byte == top[3] else -1
-            else:
-                stack.append([limit, lo, oldest, byte])
-    return repeats, again
+    repeats, again = [np.zeros((0, 3), np.int64)], np.zeros(len(common), np.int64)
+    places = np.arange(len(common))
+    # An interval's first suffix has its last, its oldest (age and place) and its byte; its last has its first.
+    first, last, byte, oldest = places.copy(), places.copy(), before.copy(), (age << 32) | places
+    edges = np.flatnonzero(common >= length)
+    edges = edges[np.argsort(-common[edges], kind="stable")]
+    cuts = np.flatnonzero(np.diff(common[edges])) + 1
+    for joins in np.split(edges, cuts) if len(edges) else []:
+        prefix, left = common[joins[0]], first[joins - 1]
+        runs = np.flatnonzero(np.concatenate(([True], left[1:] != joins[:-1])))
+        members = np.insert(joins, runs, left[runs])
+        begin = runs + np.arange(len(runs))
+        head, end = members[begin], last[joins[np.append(runs[1:], len(joins)) - 1]]
+        eldest = np.minimum.reduceat(oldest[members], begin)
+        same = np.repeat(eldest >> 32, np.diff(np.append(begin, len(members))))
+        later = oldest[members][(oldest[members] >> 32) > same]
+        again[later & 0xFFFFFFFF] = prefix
+        least, most = (f.reduceat(byte[members], begin) for f in (np.minimum, np.maximum))
+        oldest[head], last[head], first[end] = eldest, end, head
+        byte[head] = np.where(least == most, least, -1)
+        differ = byte[head] == -1
+        repeats.append(np.stack([np.full(int(differ.sum()), prefix), head[differ], end[differ]], 1))
+    return np.concatenate(repeats), again
 
 
 def compare_surroundings(keys, docs, starts, contents: list[bytes], length: int):
@@ -225,14 +239,12 @@ def compare_surroundings(keys, docs, starts, contents: list[bytes], length: int)
     number = np.maximum(sizes - length + 1, 0)
     suffixes, inner = ragged(begin, number)
     owner = np.repeat(np.arange(len(contents)), number)
-    order, by, common = sorted_suffixes(data, suffixes, sizes[owner] - inner)
-    owner, inner = owner[by], inner[by]
+    by, common = sorted_suffixes(data, suffixes, sizes[owner] - inner, length)
+    place, owner, inner = suffixes[by], owner[by], inner[by]
     doc, at = docs[owner], starts[owner] + inner
-    origin = np.lexsort((at, doc))
-    fresh = np.concatenate(([True], (doc[origin][1:] != doc[origin][:-1]) | (at[origin][1:] != at[origin][:-1])))
-    age = np.empty(len(order), np.int64)
-    age[origin] = np.cumsum(fresh)
-    before = np.where(inner > 0, data[np.maximum(order - 1, 0)].astype(np.int64), -1)
+    number = np.unique(docs, return_inverse=True)[1]
+    age = np.unique(number[owner] * (at.max(initial=0) + 1) + at, return_inverse=True)[1]
+    before = np.where(inner > 0, data[np.maximum(place - 1, 0)].astype(np.int64), -1)
     repeats, again = common_intervals(common, before, age, length)
     hit = np.flatnonzero(again)
     return (doc[hit], at[hit], at[hit] + again[hit]), repeats, (doc, at)
@@ -344,7 +356,16 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         ),
     )
     sided = around.select(F.explode(sides).alias("side"), "doc", "start", "content")
-    keyed = sided.where("side IS NOT NULL").select("side.*", "doc", "start", "content")
+    # Strings with the bytes a key stands for go no further than this from them.
+    low = F.greatest(F.lit(0), F.col("side.begin") + F.lit(GRAM + half - length))
+    high = F.least(F.length("content"), F.col("side.begin") + F.lit(length))
+    keyed = sided.where("side IS NOT NULL").where(high - low >= length).select(
+        "side.key",
+        (F.col("side.begin") - low).alias("begin"),
+        "doc",
+        (F.col("start") + low).alias("start"),
+        F.substring(F.col("content"), low + 1, high - low).alias("content"),
+    )
     sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("rows"))
     large = stored(sizes.where(F.col("rows") > CHUNK_ROWS).select("key"), "large")
     small = keyed.drop("begin")
